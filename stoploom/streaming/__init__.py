@@ -1,0 +1 @@
+"""Nothing here on purpose: every analysis this library covers is a batch job."""
