@@ -211,8 +211,7 @@ ORACLE: dict[str, str] = {
                       AS feed_id,
                  CAST(CAST(ts AS DATE) AS VARCHAR) AS subdir,
                  ts >= TIMESTAMP '2024-01-16' AS later
-          FROM events
-          WHERE ts >= TIMESTAMP '2024-01-02' AND ts < TIMESTAMP '2024-01-30')
+          FROM events)
         SELECT feed_id, subdir, count(*) AS events,
                count(*) FILTER (later) AS with_value,
                count(*) FILTER (feed_id = 'site' AND NOT later) AS with_props,

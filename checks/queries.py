@@ -92,7 +92,9 @@ def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest_per_key(events, ["user_id"], ["ts", "event_id"]).drop("ts")
 
 
-def lag_previous(spark: SparkSession, sf_dir: str, **cut: int) -> DataFrame:
+def lag_previous(
+    spark: SparkSession, sf_dir: str, slice_seconds: int = 60, **bound: int
+) -> DataFrame:
     events = star(spark, sf_dir, "events").select("user_id", "ts", "event_id")
     lagged = lag_per_group(
         events,
@@ -100,15 +102,15 @@ def lag_previous(spark: SparkSession, sf_dir: str, **cut: int) -> DataFrame:
         ["ts", "event_id"],
         "event_id",
         "previous_event_id",
-        slice_by=F.col("ts").cast("date"),
-        **cut,
+        slice_by=F.floor(epoch_seconds("ts") / slice_seconds),
+        **bound,
     )
     return lagged.drop("ts")
 
 
 def lag_previous_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with a bound so low that most users are cut into days."""
-    return lag_previous(spark, sf_dir, rows_per_task=50)
+    return lag_previous(spark, sf_dir, slice_seconds=86400, rows_per_task=50)
 
 
 def headways(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,6 +219,12 @@ def day_type_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_day_type(day_type_mean(spark, sf_dir), "operator_name")
 
 
+def _write_tree(rows: DataFrame, path: str) -> None:
+    """One headered CSV folder per ``subdir``, added to what is there."""
+    writer = rows.hint("rebalance", "subdir").write.mode("append").option("header", True)
+    writer.partitionBy("subdir").csv(path)
+
+
 def merge_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events, written as two feeds of dated CSV folders whose headers drift, merged back."""
     events = star(spark, sf_dir, "events").withColumn(
@@ -231,15 +239,17 @@ def merge_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("site", ~purchases & early, ["event_id", "props", "user_id", "event_type"]),
         ("site", ~purchases & ~early, ["event_id", "value", "user_id", "event_type"]),
     ):
-        tree = events.filter(rows).select("subdir", *columns).hint("rebalance", "subdir")
-        tree.write.mode("append").partitionBy("subdir").option("header", True).csv(f"{root}/{feed}")
+        _write_tree(events.filter(rows).select("subdir", *columns), f"{root}/{feed}")
+    # Snapshots outside the range: a copy of the purchases a year before.
+    old = events.filter(purchases).withColumn("subdir", F.replace("subdir", F.lit("2024"), F.lit("2023")))
+    _write_tree(old.select("subdir", "event_id"), f"{root}/shop")
     merged = merge_tree(
         spark,
         root,
         "events",
         feeds=["shop", "site", "absent"],
-        first_day="2024-01-02",
-        last_day="2024-01-29",
+        first_day="2024-01-01",
+        last_day="2024-01-30",
         file_glob="part-*.csv",
     )
     return merged.groupBy("feed_id", "subdir").agg(

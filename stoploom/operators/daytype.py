@@ -64,6 +64,7 @@ def avg_by_day_type(
 ) -> DataFrame:
     """Mean of the daily sums of ``value`` per operator and day type, as a whole number.
 
+    NULL values add nothing; days without any value, and the NULL day, do not count.
     ``rounding`` is ``truncate`` (towards zero) or ``half_up``.
     """
     if rounding not in ("truncate", "half_up"):
@@ -73,7 +74,8 @@ def avg_by_day_type(
         mean = F.floor(mean + 0.5)
     daily = daily_sum(df, [operator], day, value, "_daily")
     return (
-        daily.withColumn("day_type", day_type(day))
+        daily.filter(F.col(day).isNotNull() & F.col("_daily").isNotNull())
+        .withColumn("day_type", day_type(day))
         .groupBy(operator, "day_type")
         .agg(mean.cast("bigint").alias(out))
         .orderBy(operator, "day_type")

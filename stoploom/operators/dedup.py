@@ -6,9 +6,9 @@ each map task as one row.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stoploom.functions.text import ColumnOrName, as_column
@@ -19,32 +19,39 @@ def distinct_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame
     return df.select(*keys, value).distinct()
 
 
+def _extreme_row(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[ColumnOrName],
+    extreme: Callable[[Column], Column],
+) -> DataFrame:
+    rest = [name for name in df.columns if name not in keys]
+    named = {c for c in order if isinstance(c, str) and c in rest}
+    ranks = [
+        F.col(c) if isinstance(c, str) and c in named else as_column(c).alias(f"_rank{i}")
+        for i, c in enumerate(order)
+    ]
+    row = F.struct(*ranks, *[F.col(f"`{name}`") for name in rest if name not in named])
+    kept = df.groupBy(*keys).agg(extreme(row).alias("_row"))
+    return kept.select(
+        *[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns]
+    )
+
+
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnOrName]) -> DataFrame:
     """Keep, per key, the row with the smallest ``order`` tuple (NULL sorts first).
 
     Rows that tie on ``order`` are compared on all their other columns, so the survivor is
-    always the same row. For "newest first" pass a negated number, see :func:`newest_per_key`.
+    always the same row.
     """
-    rest = [name for name in df.columns if name not in keys]
-    ranks = [as_column(c).alias(f"_rank{i}") for i, c in enumerate(order)]
-    row = F.struct(*ranks, *[F.col(f"`{name}`") for name in rest])
-    kept = df.groupBy(*keys).agg(F.min(row).alias("_row"))
-    return kept.select(*keys, *[F.col("_row").getField(name).alias(name) for name in rest]).select(
-        *df.columns
-    )
+    return _extreme_row(df, keys, order, F.min)
 
 
 def newest_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[ColumnOrName]
 ) -> DataFrame:
-    """Keep, per key, the row with the largest ``order`` tuple (NULL sorts first)."""
-    rest = [name for name in df.columns if name not in keys]
-    ranks = [as_column(c).alias(f"_rank{i}") for i, c in enumerate(order)]
-    row = F.struct(*ranks, *[F.col(f"`{name}`") for name in rest])
-    kept = df.groupBy(*keys).agg(F.max(row).alias("_row"))
-    return kept.select(*keys, *[F.col("_row").getField(name).alias(name) for name in rest]).select(
-        *df.columns
-    )
+    """Keep, per key, the row with the largest ``order`` tuple; see :func:`one_per_key`."""
+    return _extreme_row(df, keys, order, F.max)
 
 
 def least_per_key(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -60,10 +67,6 @@ def singletons(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     rest = [name for name in df.columns if name not in keys]
     counted = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.first(F.struct(F.lit(1).alias("_one"), *[F.col(f"`{n}`") for n in rest])).alias("_row"),
-    )
-    alone = counted.filter("_rows = 1")
-    return alone.select(*keys, *[F.col("_row").getField(name).alias(name) for name in rest]).select(
-        *df.columns
+        F.count(F.lit(1)).alias("_rows"), *[F.first(name).alias(name) for name in rest]
     )
+    return counted.filter("_rows = 1").select(*df.columns)

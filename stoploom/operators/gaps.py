@@ -44,20 +44,18 @@ def lag_per_group(
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > rows_per_task)
-        .select(*[F.col(k).alias(f"_large_{k}") for k in keys], F.lit(True).alias("_large"))
+        .select(*[F.col(k).alias(f"_large_{k}") for k in keys], "_n")
     )
     same_key = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_large_{k}")) for k in keys]
     )
-    # At most (all rows / rows_per_task) keys are large, which bounds the broadcast.
-    cut = (
-        base.join(F.broadcast(large), same_key, "left")
-        .withColumn("_slice", F.when(F.col("_large"), slice_by))
-        .drop("_large", *[f"_large_{k}" for k in keys])
-    )
+    # At most (all rows / rows_per_task) keys are large, which bounds the broadcast. Both
+    # joins read the same columns of it, so that Spark builds it once.
+    in_slice = F.when(F.col("_n") > 0, slice_by)
+    cut = base.join(F.broadcast(large), same_key, "left").withColumn("_slice", in_slice)
     last = (
         base.join(F.broadcast(large), same_key, "inner")
-        .groupBy(*keys, slice_by.alias("_slice"))
+        .groupBy(*keys, in_slice.alias("_slice"))
         .agg(F.max(F.struct(*ranks, F.col(value).alias("_value"))).alias("_last"))
     )
     carried = (
@@ -72,7 +70,9 @@ def lag_per_group(
             F.lit(0).alias("_own"),
         )
     )
-    rows = cut.withColumns({"_value": F.col(value), "_own": F.lit(1)})
+    rows = cut.withColumns({"_value": F.col(value), "_own": F.lit(1)}).select(
+        *dict.fromkeys([*df.columns, *ranks]), "_slice", "_value", "_own"
+    )
     sliced = Window.partitionBy(*keys, "_slice").orderBy("_own", *ranks)
     return (
         rows.unionByName(carried, allowMissingColumns=True)

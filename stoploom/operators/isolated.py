@@ -30,9 +30,10 @@ def isolated_cells(
         .distinct()
     )
     if shared == "owner":
-        # After the distinct there is one row per group and coordinate, however often
-        # the snapshots repeat it; only these meet in the comparison of group names.
-        points = points.groupBy("_x", "_y").agg(F.min(group).alias(group))
+        # Snapshots repeat a coordinate hundreds of times. The distinct above removes the
+        # repeats by hashing; comparing names needs sorting, so it should see the rest only.
+        # Written as min_by because Spark drops a distinct below min.
+        points = points.groupBy("_x", "_y").agg(F.min_by(group, group).alias(group))
     alone = (
         points.groupBy(
             group, grid_cell("_x", digits).alias("cell_x"), grid_cell("_y", digits).alias("cell_y")

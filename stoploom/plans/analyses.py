@@ -42,6 +42,11 @@ def disconnected_stops(stops: DataFrame, digits: int = 2, shared: str = "owner")
     return isolated_points(stops, "feed_id", "stop_lat", "stop_lon", digits, shared, "stop_count")
 
 
+def _day_of(table: DataFrame) -> Column:
+    """Snapshot day: the typed partition column of a merged table, else the folder's name."""
+    return F.col("snapshot_date") if "snapshot_date" in table.columns else snapshot_day("subdir")
+
+
 def route_names(
     routes: DataFrame, feed: str, by_snapshot: bool = False, dash: bool = False
 ) -> DataFrame:
@@ -52,11 +57,11 @@ def route_names(
     mine = routes.filter((F.col("feed_id") == feed) & F.col("route_id").isNotNull())
     name = [F.col("route_short_name").isNull(), "route_short_name"]
     if by_snapshot:
-        named = mine.select("route_id", "subdir", "route_short_name").distinct()
+        named = mine.select("route_id", "subdir", "route_short_name")
         named = one_per_key(named, ["route_id", "subdir"], name)
     else:
-        age = -F.unix_date(snapshot_day("subdir"))
-        named = mine.select("route_id", "route_short_name", age.alias("age")).distinct()
+        age = -F.unix_date(_day_of(routes))
+        named = mine.select("route_id", "route_short_name", age.alias("age"))
         named = one_per_key(named, ["route_id"], [F.col("age").isNull(), "age", *name]).drop("age")
     if dash:
         named = named.withColumn("route_short_name", dashed("route_short_name"))
@@ -170,7 +175,7 @@ def service_windows(
     typed = frequencies.select(
         F.col("feed_id").alias("operator_name"),
         "trip_id",
-        snapshot_day("subdir").alias("snapshot_day"),
+        _day_of(frequencies).alias("snapshot_day"),
         (clock_seconds("end_time") - clock_seconds("start_time")).alias("duration"),
         as_double("headway_secs").alias("headway"),
     )
@@ -189,11 +194,11 @@ def average_trips(
     Rows that cannot be read are left out; an ``observation`` receives their counts.
     """
     windows = service_windows(frequencies, names)
-    if observation is None:
-        accepted, _ = split_rejects(windows, service_rules())
-    else:
-        accepted = observe_rejects(windows, service_rules(), observation, service_notes())
-    return avg_by_day_type(accepted, "operator_name", "snapshot_day", "num_trips", rounding)
+    if observation is not None:
+        windows = observe_rejects(windows, service_rules(), observation, service_notes())
+    # A rejected row has no day or no number of trips and so adds nothing. Filtering it
+    # here would only make Spark parse the texts twice.
+    return avg_by_day_type(windows, "operator_name", "snapshot_day", "num_trips", rounding)
 
 
 def average_trips_wide(

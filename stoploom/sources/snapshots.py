@@ -61,6 +61,11 @@ def _one_split_per_task(spark: SparkSession) -> SparkSession:
     return session
 
 
+def _literal(paths: Sequence[str]) -> list[str]:
+    """Paths with the wild-card characters of Spark's readers escaped."""
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths]
+
+
 def discover(
     spark: SparkSession,
     root: str,
@@ -134,7 +139,7 @@ def _first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
     row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
     lines = (
         _one_split_per_task(spark)
-        .read.text(list(paths))
+        .read.text(_literal(paths))
         .filter(F.col("_metadata.file_block_start") == 0)
         .filter(F.trim("value") != "")
         .select("value", F.col("_metadata.file_path").alias("file"), row_in_task.alias("row"))
@@ -185,7 +190,7 @@ def merge_files(spark: SparkSession, files: Sequence[SnapshotFile]) -> DataFrame
     scans = []
     for names, paths in sorted(groups.items()):
         schema = StructType([StructField(n, StringType()) for n in names])
-        rows = spark.read.schema(schema).option("header", True).csv(sorted(paths))
+        rows = spark.read.schema(schema).option("header", True).csv(_literal(sorted(paths)))
         scans.append(rows.select(*stamps, *[F.col(f"`{n}`") for n in names if n not in STAMPED]))
     merged = stack_by_name(scans)
     rest = sorted(c for c in merged.columns if c not in STAMPED)

@@ -1,0 +1,221 @@
+import pytest
+from pyspark.sql import Observation
+
+from stoploom import jobs, plans
+from stoploom.plans.analyses import service_windows
+
+
+@pytest.fixture
+def routes(spark):
+    return spark.createDataFrame(
+        [
+            ("KTMB", "2024-10-01", "R1", "Old name"),
+            ("KTMB", "2024-10-02", "R1", "Port Klang Line"),
+            ("KTMB", "2024-10-02", "R1", "Zulu"),  # same day: smallest name
+            ("KTMB", "bad", "R1", "Aaa"),
+            ("KTMB", "2024-10-01", "R2", "Port Klang Line"),
+            ("KTMB", "2024-10-01", "R3", None),
+            ("other", "2024-10-03", "R1", "Nope"),
+        ],
+        "feed_id string, subdir string, route_id string, route_short_name string",
+    )
+
+
+@pytest.fixture
+def trips(spark):
+    rows = [
+        ("R1", "a", "0"),
+        ("R1", "b", "0"),
+        ("R1", "c", "0"),
+        ("R1", "d", "0"),
+        ("R1", "e", None),
+        ("R1", "f", None),
+        ("R2", "g", "0"),
+        ("R2", "a", "0"),  # a trip under two routes
+        ("R2", "h", "0"),
+        ("R3", "i", "0"),
+        ("R3", "j", "0"),
+        ("R9", "a", "0"),  # a route without a name row
+        ("R9", "b", "0"),
+    ]
+    both = [("KTMB", day, *r) for day in ("2024-10-01", "2024-10-02") for r in rows]
+    return spark.createDataFrame(
+        [*both, ("other", "2024-10-01", "R1", "x", "0")],
+        "feed_id string, subdir string, route_id string, trip_id string, direction_id string",
+    )
+
+
+@pytest.fixture
+def stop_times(spark):
+    rows = [
+        ("a", "05:00:00"),
+        ("a", "05:30:00"),
+        ("b", "05:00:00"),
+        ("c", "05:20:00"),
+        ("d", "10:00:00"),
+        ("d", "6:00:00"),  # one-digit hour is earlier than 10:00
+        ("e", "23:50:00"),
+        ("f", "24:10:00"),
+        ("g", "late"),
+        ("h", "05:45:00"),
+        ("i", "01:00:00"),
+        ("j", "01:00:20"),
+        ("x", "05:10:00"),
+    ]
+    days = ("2024-10-01", "2024-10-02")
+    return spark.createDataFrame(
+        [("other" if t == "x" else "KTMB", d, t, time) for d in days for t, time in rows],
+        "feed_id string, subdir string, trip_id string, departure_time string",
+    )
+
+
+def test_waiting_time(rows, routes, trips, stop_times):
+    # R1: 05:00 05:00 05:20 06:00 -> 20, 40; no direction: 20; R2: 05:00 05:45 -> 45
+    found = rows(plans.waiting_time(routes, trips, stop_times))
+    assert found == [(None, 0.0, 0.0, 0.0), ("Port Klang Line", 20.0, 31.0, 45.0)]
+    dashed = rows(plans.waiting_time(routes, trips, stop_times, dash=True))
+    assert dashed[1][0] == "Port-Klang-Line"
+    assert rows(plans.waiting_time(routes, trips, stop_times, feed="other")) == []
+
+
+def test_waiting_time_by_snapshot(rows, routes, trips, stop_times):
+    found = rows(plans.waiting_time(routes, trips, stop_times, by_snapshot=True))
+    assert found == [
+        (None, "2024-10-01", 0.0, 0.0, 0.0),
+        ("Old name", "2024-10-01", 20.0, 27.0, 40.0),
+        ("Port Klang Line", "2024-10-01", 45.0, 45.0, 45.0),
+        ("Port Klang Line", "2024-10-02", 20.0, 27.0, 40.0),
+    ]
+
+
+def test_intervals_give_the_same_statistics(rows, routes, trips, stop_times):
+    intervals = plans.departure_intervals(routes, trips, stop_times)
+    assert ("R1__c__0", "R1__0", "Port Klang Line", 19200, 20.0) in rows(intervals)
+    assert ("R1__f", "R1", "Port Klang Line", 87000, 20.0) in rows(intervals)
+    stats = intervals.groupBy("route_short_name").agg(
+        {"interval_in_minutes": "avg", "departure": "count"}
+    )
+    assert rows(stats)[1] == ("Port Klang Line", 31.25, 4)
+
+
+def test_routes_per_feed(spark):
+    routes = spark.createDataFrame(
+        [
+            ("bus", "A"),
+            ("bus", "A"),
+            ("bus", "B"),
+            ("bus", None),
+            ("KTMB", "A"),
+            ("Prasarana_RapidRailKL", "A"),
+            (None, "A"),
+            ("other", "A"),
+        ],
+        "feed_id string, route_long_name string",
+    )
+    result = plans.routes_per_feed(routes)
+    assert result.columns == ["feed_id", "route_count"]
+    assert [tuple(r) for r in result.collect()] == [("bus", 2), ("other", 1)]
+
+
+RAIL, BUS = "Prasarana_RapidRailKL", "Prasarana_RapidBusKL"
+FREQUENCIES = [
+    (RAIL, "2024-10-04", "AGL_1", "700", "06:00:00", "07:00:00"),  # 5 trips, Friday
+    (RAIL, "2024-10-04", "AGL_2", "600", "6:00:00", "07:00:00"),  # 6 trips
+    (RAIL, "2024-10-05", "AGL_1", "600", "23:30:00", "25:30:00"),  # 12 trips, Saturday
+    (RAIL, "2024-10-07", "ZZZ_1", "3600", "06:00:00", "07:00:00"),  # 1 trip, Monday
+    (RAIL, "2024-10-08", "ZZZ_1", "1800", "06:00:00", "07:00:00"),  # 2 trips
+    (RAIL, "2024-10-07", "AB", "600", "07:00:00", "06:00:00"),  # -6 trips
+    (BUS, "2024-10-06", "AGL_9", "600", "06:00:00", "07:00:00"),  # 6 trips, Sunday
+    ("BRT", "2024-10-06", "x", "600.5", "06:00:00", "07:00:00"),  # 5 trips
+    (BUS, "2024-10-06", "x", "0", "06:00:00", "07:00:00"),
+    (BUS, "2024-10-06", "x", "x", "06:00:00", "07:00:00"),
+    (BUS, "2024-10-06", "x", "NaN", "06:00:00", "07:00:00"),
+    (BUS, "2024-10-06", "x", None, "06:00:00", "07:00:00"),
+    (BUS, "2024-10-99", "x", "600", "06:00:00", "07:00:00"),
+    (BUS, "2024-10-06", "x", "600", None, "07:00:00"),
+    (BUS, "2024-10-06", "x", "600", "06:00:00", "7h"),
+]
+LONG = [
+    ("AB", "weekday", -6),
+    ("BRT Sunway Line", "weekend", 5),
+    ("LRT Ampang Line", "weekday", 11),
+    ("LRT Ampang Line", "weekend", 12),
+    ("Rapid Bus KL", "weekend", 6),
+    ("ZZZ", "weekday", 1),
+]
+COUNTS = {
+    "rows": 15,
+    "bad_date": 1,
+    "bad_time": 2,
+    "bad_headway": 3,
+    "zero_headway": 1,
+    "negative_duration": 1,
+    "accepted": 8,
+}
+
+
+@pytest.fixture
+def frequencies(spark):
+    names = "feed_id subdir trip_id headway_secs start_time end_time"
+    return spark.createDataFrame(FREQUENCIES, ", ".join(f"{n} string" for n in names.split()))
+
+
+def test_average_trips(rows, frequencies):
+    assert [tuple(r) for r in plans.average_trips(frequencies).collect()] == LONG
+    rounded = {tuple(r)[:2]: r[2] for r in plans.average_trips(frequencies, "half_up").collect()}
+    assert rounded[("ZZZ", "weekday")] == 2
+    wide = plans.average_trips_wide(frequencies, fill=0)
+    assert rows(wide)[:3] == [("AB", -6, 0), ("BRT Sunway Line", 0, 5), ("LRT Ampang Line", 11, 12)]
+    assert rows(plans.average_trips_wide(frequencies))[0] == ("AB", -6, None)
+
+
+def test_typed_snapshot_column_is_used(frequencies):
+    typed = frequencies.selectExpr("*", "try_cast(subdir AS DATE) AS snapshot_date").drop("subdir")
+    assert [tuple(r) for r in plans.average_trips(typed).collect()] == LONG
+
+
+def test_reject_counts(rows, frequencies):
+    assert plans.service_quality(frequencies).head().asDict() == COUNTS
+    observation = Observation("service")
+    observed = plans.average_trips(frequencies, observation=observation)
+    assert [tuple(r) for r in observed.collect()] == LONG
+    assert observation.get == COUNTS
+    assert plans.rejected_service(frequencies).count() == 7
+    assert service_windows(frequencies).count() == 15
+
+
+def test_reports_from_the_command_line(
+    spark, tmp_path, capsys, routes, trips, stop_times, frequencies
+):
+    data = str(tmp_path / "data")
+    stops = spark.createDataFrame(
+        [("a", "1.0", "2.0"), ("a", "3.0", "2.0")], "feed_id string, stop_lat string, stop_lon string"
+    )
+    for name, df in {
+        "routes": routes.selectExpr("*", "route_short_name AS route_long_name"),
+        "trips": trips,
+        "stop_times": stop_times,
+        "frequencies": frequencies,
+        "stops": stops,
+    }.items():
+        df.write.option("header", True).csv(f"{data}/{name}")
+        df.write.parquet(f"{data}-parquet/{name}")
+    outputs = {}
+    for job in (["routes"], ["stops"], ["waiting-time"], ["day-type"], ["day-type", "--wide", "--fill=0"]):
+        for arguments in ([data, "--format=csv"], [data + "-parquet"]):
+            jobs.main([job[0], *arguments, *job[1:]])
+            outputs.setdefault(tuple(job), set()).add(capsys.readouterr().out)
+    assert all(len(texts) == 1 for texts in outputs.values())
+    assert "|Port Klang Line |20.0                |31.0" in outputs[("waiting-time",)].pop()
+    assert "|LRT Ampang Line|weekend |12" in outputs[("day-type",)].pop()
+    assert "|other  |1          |" in outputs[("routes",)].pop()
+    assert "|a      |2         |" in outputs[("stops",)].pop()
+
+
+def test_merge_from_the_command_line(spark, tmp_path):
+    folder = tmp_path / "raw" / "KTMB" / "2024-10-01"
+    folder.mkdir(parents=True)
+    (folder / "agency.txt").write_text("agency_id\nK\n")
+    jobs.main(["merge", str(tmp_path / "raw"), str(tmp_path / "out")])
+    stored = spark.read.parquet(str(tmp_path / "out" / "agency"))
+    assert [r.feed_id for r in stored.collect()] == ["KTMB"]
