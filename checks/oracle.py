@@ -115,6 +115,11 @@ ORACLE: dict[str, str] = {
           SELECT 1 FROM alone b WHERE b.cx = a.cx AND b.y = a.y AND b.grp <> a.grp)
         GROUP BY grp
     """,
+    "isolated_each": f"""
+        SELECT grp AS c_mktsegment, count(*) AS points FROM (
+          SELECT grp FROM ({_POINTS}) GROUP BY grp, cx, y HAVING count(*) = 1)
+        GROUP BY grp
+    """,
     "window_unique": """
         SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year,
                CAST(month(o_orderdate) AS INTEGER) AS month, o_orderpriority

@@ -63,6 +63,11 @@ def isolated_exclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return isolated_points(points, "c_mktsegment", "c_acctbal", "north", -2, "exclude", "points")
 
 
+def isolated_each(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = _customer_points(spark, sf_dir)
+    return isolated_points(points, "c_mktsegment", "c_acctbal", "north", -2, "each", "points")
+
+
 def window_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = star(spark, sf_dir, "orders").select(
         "o_orderkey",
@@ -352,6 +357,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_per_group": distinct_names,
     "isolated_owner": isolated_owner,
     "isolated_exclusive": isolated_exclusive,
+    "isolated_each": isolated_each,
     "window_unique": window_unique,
     "dedup_group_values": dedup_group_values,
     "first_per_key": first_per_key,

@@ -41,7 +41,9 @@ def build_parser() -> argparse.ArgumentParser:
         return job
 
     report("routes")
-    report("stops").add_argument("--shared", choices=("owner", "exclude"), default="owner")
+    report("stops").add_argument(
+        "--shared", choices=("owner", "each", "exclude"), default="owner"
+    )
     waiting = report("waiting-time")
     waiting.add_argument("--feed", default=schedule.TRAIN_FEED)
     waiting.add_argument("--by-snapshot", action="store_true")

@@ -32,14 +32,13 @@ def lag_per_group(
     slice is sorted on its own and gets one carried row, the last one of the slice before.
     The result is the same as without.
     """
-    order = [as_column(c) for c in order]
     if slice_by is None:
-        return df.withColumn(
-            out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order))
-        )
+        window = Window.partitionBy(*keys).orderBy(*[as_column(c) for c in order])
+        return df.withColumn(out, F.lag(value).over(window))
 
-    ranks = {f"_o{i}": column for i, column in enumerate(order)}
-    base = df.withColumns(ranks)
+    computed = {f"_o{i}": c for i, c in enumerate(order) if isinstance(c, Column)}
+    ranks = [f"_o{i}" if isinstance(c, Column) else c for i, c in enumerate(order)]
+    base = df.withColumns(computed)
     large = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -52,31 +51,32 @@ def lag_per_group(
     # At most (all rows / rows_per_task) keys are large, which bounds the broadcast. Both
     # joins read the same columns of it, so that Spark builds it once.
     in_slice = F.when(F.col("_n") > 0, slice_by)
-    cut = base.join(F.broadcast(large), same_key, "left").withColumn("_slice", in_slice)
+    rows = (
+        base.join(F.broadcast(large), same_key, "left")
+        .withColumns({"_slice": in_slice, "_own": F.lit(1)})
+        .select(*base.columns, "_slice", "_own")
+    )
     last = (
         base.join(F.broadcast(large), same_key, "inner")
         .groupBy(*keys, in_slice.alias("_slice"))
         .agg(F.max(F.struct(*ranks, F.col(value).alias("_value"))).alias("_last"))
     )
+    following = F.lead("_slice").over(Window.partitionBy(*keys).orderBy("_slice"))
     carried = (
-        last.withColumn(
-            "_next", F.lead("_slice").over(Window.partitionBy(*keys).orderBy("_slice"))
-        )
-        .filter(F.col("_next").isNotNull())
+        last.withColumn("_slice", following)
+        .filter(F.col("_slice").isNotNull())
         .select(
             *keys,
-            F.col("_next").alias("_slice"),
-            F.col("_last._value").alias("_value"),
+            *([F.col("_last._value").alias(value)] if value not in keys else []),
+            "_slice",
             F.lit(0).alias("_own"),
         )
     )
-    rows = cut.withColumns({"_value": F.col(value), "_own": F.lit(1)}).select(
-        *dict.fromkeys([*df.columns, *ranks]), "_slice", "_value", "_own"
-    )
-    sliced = Window.partitionBy(*keys, "_slice").orderBy("_own", *ranks)
+    # A carried row comes first in its slice and holds nothing but its key and its value.
+    in_order = Window.partitionBy(*keys, "_slice").orderBy("_own", *ranks)
     return (
         rows.unionByName(carried, allowMissingColumns=True)
-        .withColumn(out, F.lag("_value").over(sliced))
+        .withColumn(out, F.lag(value).over(in_order))
         .filter("_own = 1")
         .select(*df.columns, out)
     )

@@ -20,10 +20,11 @@ def isolated_cells(
     A coordinate used by several groups counts as one point. ``shared`` says whose:
 
     * ``owner``: it belongs to the smallest group that has it;
+    * ``each``: every group has it;
     * ``exclude``: every group has it, and cells isolated in several groups are left out.
     """
-    if shared not in ("owner", "exclude"):
-        raise ValueError(f"shared must be 'owner' or 'exclude', not {shared!r}")
+    if shared not in ("owner", "each", "exclude"):
+        raise ValueError(f"shared must be 'owner', 'each' or 'exclude', not {shared!r}")
     points = (
         df.select(group, as_double(x).alias("_x"), as_double(y).alias("_y"))
         .na.drop(subset=["_x", "_y"])

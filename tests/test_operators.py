@@ -94,6 +94,8 @@ def test_isolated_points(spark, rows):
     assert [tuple(r) for r in owner.collect()] == [("a", 2), ("b", 2), ("c", 1)]
     exclude = isolated_points(df, "feed", "lat", "lon", shared="exclude")
     assert [tuple(r) for r in exclude.collect()] == [("a", 1), ("b", 1)]
+    each = isolated_points(df, "feed", "lat", "lon", shared="each")
+    assert [tuple(r) for r in each.collect()] == [("b", 3), ("a", 2), ("c", 1)]
     cells = rows(isolated_cells(df, "feed", "lat", "lon"))
     assert ("b", 2.68, 7.0, "2.68,7.0") in cells
     with pytest.raises(ValueError, match="shared"):
@@ -125,6 +127,22 @@ def test_lag_in_slices_with_two_keys(spark, rows):
     assert rows(cut) == rows(plain)
 
 
+def test_lag_ordered_by_an_expression(spark, rows):
+    df = spark.range(200).selectExpr("id % 3 AS k", "id AS t", "id AS `v`")
+    order = [-F.col("t")]
+    plain = lag_per_group(df, ["k"], order, "v", "p")
+    slices = F.floor(-F.col("t") / 25)
+    cut = lag_per_group(df, ["k"], order, "v", "p", slice_by=slices, rows_per_task=10)
+    assert rows(cut) == rows(plain)
+    # the value may be the key or the order itself
+    for value in ("k", "t"):
+        plain = lag_per_group(df, ["k"], ["t"], value, "p")
+        cut = lag_per_group(
+            df, ["k"], ["t"], value, "p", slice_by=F.floor(F.col("t") / 25), rows_per_task=10
+        )
+        assert rows(cut) == rows(plain)
+
+
 def test_gaps_drop_ties_and_keep_null_keys(spark, rows):
     minutes = [("r", 300), ("r", 300), ("r", 320), ("r", 360), (None, 10), (None, 25), ("s", 5), ("r", None)]
     df = spark.createDataFrame([(k, None if m is None else m * 60) for k, m in minutes], "k string, t long")
