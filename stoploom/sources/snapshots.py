@@ -24,6 +24,8 @@ from stoploom.functions.clock import snapshot_day
 from stoploom.operators.align import stack_by_name
 
 STAMPED = ("feed_id", "subdir", "snapshot_date")
+SMALL_FILE = 16 * 2**20
+FIRST_LINE = r"^\s*([^\r\n]*\S)"
 
 
 @dataclass(frozen=True)
@@ -82,8 +84,7 @@ def discover(
     not dates are ignored. Missing feeds are skipped.
 
     Only path and first line of each file come back, the size of a file listing. Finding
-    the lines is a plain text scan (a small part of the cost of parsing the same files): a
-    task reads one split, and its first line is the header if the split starts the file.
+    the lines reads the files once as plain text, a small part of the cost of parsing them.
     Empty files are left out.
     """
     if file_glob is not None and len(tables) != 1:
@@ -100,52 +101,65 @@ def discover(
         wanted &= day >= F.lit(str(first_day)).cast("date")
     if last_day is not None:
         wanted &= day <= F.lit(str(last_day)).cast("date")
-    listed = (
-        spark.read.format("binaryFile")  # without its content column this opens no file
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", file_glob or "{" + ",".join(f"{t}.txt" for t in tables) + "}")
-        .load(root)
-        .filter(wanted & (F.col("length") > 0))
-        .select(
-            "path",
-            encoded.alias("encoded"),
-            feed.alias("feed"),
-            day.alias("day"),
-            F.regexp_extract("path", r"([^/]+)\.txt$", 1).alias("name"),
-            F.length(F.regexp_extract(encoded, pattern, 1)).alias("base"),
-        )
-        .collect()
+    size = F.col("_metadata.file_size")
+    plain = _decoded(encoded)
+    described = [
+        encoded.alias("encoded"),
+        plain.alias("path"),
+        feed.alias("feed"),
+        day.alias("day"),
+        F.regexp_extract(plain, r"([^/]+)\.txt$", 1).alias("table"),
+        F.length(F.regexp_extract(encoded, pattern, 1)).alias("base"),
+    ]
+    options = {
+        "recursiveFileLookup": True,
+        "pathGlobFilter": file_glob or "{" + ",".join(f"{t}.txt" for t in tables) + "}",
+    }
+    # Small files are read whole, one row each and many per task. Of large ones only names
+    # and sizes are read here (binaryFile opens no file without its content column).
+    whole = spark.read.options(**options).text(root, wholetext=True)
+    small = whole.filter(wanted & (size <= SMALL_FILE)).select(
+        *described, F.regexp_extract("value", FIRST_LINE, 1).alias("header")
     )
-    headers = _first_lines(spark, sorted(row["path"] for row in listed))
+    listed = spark.read.format("binaryFile").options(**options).load(root)
+    large = listed.filter(wanted & (size > SMALL_FILE)).select(*described).collect()
+    headers = _first_lines(spark, sorted(row["path"] for row in large))
+    found = [row.asDict() for row in small.collect() if row["header"]]
+    found += [
+        {**row.asDict(), "header": headers[row["encoded"]]}
+        for row in large
+        if row["encoded"] in headers
+    ]
     files = [
         SnapshotFile(
             path=row["path"],
             feed=row["feed"],
             day=row["day"],
-            table=tables[0] if file_glob else row["name"],
-            header=headers[row["encoded"]],
+            table=tables[0] if file_glob else row["table"],
+            header=row["header"],
             base=row["base"],
         )
-        for row in listed
-        if row["encoded"] in headers
+        for row in found
     ]
     return sorted(files, key=lambda f: (f.table, f.feed, f.day, f.path))
 
 
 def _first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
-    """First line that is not blank of each file, by encoded path."""
+    """First line that is not blank of each (large) file, by encoded path.
+
+    A task reads one split, and its first line is the header if the split starts the file.
+    """
     if not paths:
         return {}
-    row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
     lines = (
         _one_split_per_task(spark)
         .read.text(_literal(paths))
         .filter(F.col("_metadata.file_block_start") == 0)
         .filter(F.trim("value") != "")
-        .select("value", F.col("_metadata.file_path").alias("file"), row_in_task.alias("row"))
-        .filter("row = 0")
     )
-    return {row["file"]: row["value"] for row in lines.select("file", "value").collect()}
+    row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+    first = lines.select(F.col("_metadata.file_path").alias("file"), "value", row_in_task.alias("row"))
+    return {row["file"]: row["value"] for row in first.filter("row = 0").collect()}
 
 
 def column_names(header: str) -> tuple[str, ...]:

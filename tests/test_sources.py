@@ -10,6 +10,7 @@ from stoploom.sources import (
     merge_snapshots,
     read_csv_table,
     read_table,
+    snapshots,
 )
 
 TREE = {
@@ -61,7 +62,9 @@ RANGE = {"first_day": "2024-10-01", "last_day": "2025-05-31"}
 FEEDS = ["rail", "bus {x}+1", "tram"]
 
 
-def test_merge_snapshots(spark, rows, tree):
+@pytest.mark.parametrize("small_file", [0, 20, 10**6])
+def test_merge_snapshots(spark, rows, tree, monkeypatch, small_file):
+    monkeypatch.setattr(snapshots, "SMALL_FILE", small_file)
     for root in (tree, tree + "/", "file:" + tree):
         merged = merge_snapshots(spark, root, "stops", FEEDS, **RANGE)
         assert merged.columns == [
@@ -99,7 +102,8 @@ def test_discover_lists_the_allowed_files_only(spark, tree):
         discover(spark, tree, ["stops", "trips"], file_glob="*.txt")
 
 
-def test_header_of_a_file_larger_than_a_split(spark, tmp_path, rows):
+def test_header_of_a_file_larger_than_a_split(spark, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(snapshots, "SMALL_FILE", 1000)
     body = "".join(f"{i},name {i}\n" for i in range(20000))
     for day, header in (("2024-10-01", "stop_id,stop_name\n"), ("2024-10-02", "stop_name,stop_id\n")):
         (tmp_path / "f" / day).mkdir(parents=True)
