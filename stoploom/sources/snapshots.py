@@ -14,7 +14,6 @@ from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
-from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +31,8 @@ FIRST_LINE = r"^\s*([^\r\n]*\S)"
 class SnapshotFile:
     """A file of the tree and its first line.
 
-    ``base`` is the length of the encoded path up to the feed folder.
+    ``base`` is the length of the path up to the feed folder; ``encoded`` says whether Spark
+    spells the path differently in its file metadata (a blank as ``%20``).
     """
 
     path: str
@@ -41,6 +41,7 @@ class SnapshotFile:
     table: str
     header: str
     base: int
+    encoded: bool
 
 
 def _decoded(column: Column) -> Column:
@@ -48,10 +49,10 @@ def _decoded(column: Column) -> Column:
 
 
 def _path_pattern(root: str) -> str:
+    """Groups: path up to the feed, feed, date."""
     local = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/")
-    escaped = re.sub(r"([^A-Za-z0-9/_%])", r"\\\1", quote(local))
     day = r"(?:[^/=]+=)?(\d{4}-\d{2}-\d{2})"
-    return rf"^([^/]*?(?://[^/]*)?{escaped}/)([^/]+)/(?:.*/)?{day}/[^/]+$"
+    return rf"^([^/]*?(?://[^/]*)?\Q{local}\E/)([^/]+)/(?:.*/)?{day}/[^/]+$"
 
 
 def _one_split_per_task(spark: SparkSession) -> SparkSession:
@@ -92,8 +93,9 @@ def discover(
 
     pattern = _path_pattern(root)
     encoded = F.col("_metadata.file_path")
-    day = snapshot_day(F.regexp_extract(encoded, pattern, 3))
-    feed = _decoded(F.regexp_extract(encoded, pattern, 2))
+    path = _decoded(encoded)
+    feed = F.regexp_extract(path, pattern, 2)
+    day = snapshot_day(F.regexp_extract(path, pattern, 3))
     wanted = day.isNotNull()
     if feeds is not None:
         wanted &= feed.isin(list(feeds))
@@ -102,14 +104,13 @@ def discover(
     if last_day is not None:
         wanted &= day <= F.lit(str(last_day)).cast("date")
     size = F.col("_metadata.file_size")
-    plain = _decoded(encoded)
     described = [
-        encoded.alias("encoded"),
-        plain.alias("path"),
+        path.alias("path"),
         feed.alias("feed"),
         day.alias("day"),
-        F.regexp_extract(plain, r"([^/]+)\.txt$", 1).alias("table"),
-        F.length(F.regexp_extract(encoded, pattern, 1)).alias("base"),
+        F.regexp_extract(path, r"([^/]+)\.txt$", 1).alias("table"),
+        F.length(F.regexp_extract(path, pattern, 1)).alias("base"),
+        (path != encoded).alias("encoded"),
     ]
     options = {
         "recursiveFileLookup": True,
@@ -126,9 +127,7 @@ def discover(
     headers = _first_lines(spark, sorted(row["path"] for row in large))
     found = [row.asDict() for row in small.collect() if row["header"]]
     found += [
-        {**row.asDict(), "header": headers[row["encoded"]]}
-        for row in large
-        if row["encoded"] in headers
+        {**row.asDict(), "header": headers[row["path"]]} for row in large if row["path"] in headers
     ]
     files = [
         SnapshotFile(
@@ -138,6 +137,7 @@ def discover(
             table=tables[0] if file_glob else row["table"],
             header=row["header"],
             base=row["base"],
+            encoded=row["encoded"],
         )
         for row in found
     ]
@@ -145,7 +145,7 @@ def discover(
 
 
 def _first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
-    """First line that is not blank of each (large) file, by encoded path.
+    """First line that is not blank of each (large) file, by path.
 
     A task reads one split, and its first line is the header if the split starts the file.
     """
@@ -158,8 +158,9 @@ def _first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
         .filter(F.trim("value") != "")
     )
     row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
-    first = lines.select(F.col("_metadata.file_path").alias("file"), "value", row_in_task.alias("row"))
-    return {row["file"]: row["value"] for row in first.filter("row = 0").collect()}
+    path = _decoded(F.col("_metadata.file_path"))
+    first = lines.select(path.alias("path"), "value", row_in_task.alias("row"))
+    return {row["path"]: row["value"] for row in first.filter("row = 0").collect()}
 
 
 def column_names(header: str) -> tuple[str, ...]:
@@ -178,12 +179,12 @@ def column_names(header: str) -> tuple[str, ...]:
 def _stamps(files: Sequence[SnapshotFile]) -> dict[str, Column]:
     """Feed and date of the row's file. Evaluated per row, so as few text steps as possible."""
     path = F.col("_metadata.file_path")
+    if any(file.encoded for file in files):
+        path = _decoded(path)
     feed = F.substring_index(F.substr(path, F.lit(files[0].base + 1)), "/", 1)
-    if any(quote(file.feed) != file.feed for file in files):
-        feed = _decoded(feed)
     names = {file.path.rsplit("/", 1)[1] for file in files}
-    if len(names) == 1 and quote(name := names.pop()) == name:
-        subdir = F.substring(path, -len(f"YYYY-MM-DD/{name}"), 10)
+    if len(names) == 1:
+        subdir = F.substring(path, -len(f"YYYY-MM-DD/{names.pop()}"), 10)
     else:
         subdir = F.right(F.substring_index(F.substring_index(path, "/", -2), "/", 1), F.lit(10))
     return {"feed_id": feed, "subdir": subdir, "snapshot_date": subdir.try_cast("date")}

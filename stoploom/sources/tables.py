@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from stoploom.functions.text import trim_all
 
@@ -28,7 +29,15 @@ def read_csv_table(
 
 
 def read_table(spark: SparkSession, dataset: str, table: str, fmt: str = "parquet") -> DataFrame:
-    """A merged table below ``dataset``: a Parquet folder, or ``<table>/*.csv``."""
+    """A merged table below ``dataset``: a Parquet folder, or ``<table>/*.csv``.
+
+    Feed names stay text, also where all of them look like numbers.
+    """
     if fmt == "csv":
         return read_csv_table(spark, f"{dataset}/{table}/*.csv")
-    return spark.read.format(fmt).load(f"{dataset}/{table}")
+    found = spark.read.format(fmt).load(f"{dataset}/{table}")
+    types = dict(found.dtypes)
+    if types.get("feed_id", "string") == "string":
+        return found
+    fields = [StructField(f.name, StringType()) if f.name == "feed_id" else f for f in found.schema]
+    return spark.read.schema(StructType(fields)).format(fmt).load(f"{dataset}/{table}")

@@ -41,7 +41,7 @@ TREE = {
 
 @pytest.fixture
 def tree(tmp_path):
-    root = tmp_path / "raw tree"
+    root = tmp_path / "raw tree+=@,1 (é)"
     for name, text in TREE.items():
         path = root / name
         path.parent.mkdir(parents=True, exist_ok=True)
@@ -123,6 +123,20 @@ def test_header_of_a_file_larger_than_a_split(spark, tmp_path, rows, monkeypatch
         spark.conf.set(key, before)
 
 
+def test_plain_paths_are_not_decoded_per_row(spark, tmp_path):
+    for feed in ("a", "b"):
+        folder = tmp_path / feed / "date=2024-10-01"
+        folder.mkdir(parents=True)
+        (folder / "stops.txt").write_text(f"stop_id\n{feed}1\n")
+        (folder / "more-stops.txt").write_text(f"stop_id\n{feed}2\n")
+    merged = merge_snapshots(spark, str(tmp_path), "stops")
+    assert "decode" not in merged._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.feed_id + r.stop_id for r in merged.collect()) == ["aa1", "bb1"]
+    both = merge_snapshots(spark, str(tmp_path), "stops", file_glob="*.txt")
+    assert sorted(r.feed_id + r.stop_id for r in both.collect()) == ["aa1", "aa2", "bb1", "bb2"]
+    assert {r.subdir for r in both.collect()} == {"2024-10-01"}
+
+
 def test_only_the_files_of_a_chosen_day_are_read(spark, tree):
     merged = merge_snapshots(spark, tree, "stops", FEEDS, **RANGE)
     one_day = merged.filter("snapshot_date = DATE'2024-10-01'").select("stop_id")
@@ -170,6 +184,17 @@ def test_partitions_without_new_rows_can_stay(spark, rows, tmp_path):
     assert rows(spark.read.parquet(target).select("feed_id", "n")) == [("a", 1), ("b", 3)]
 
 
+def test_feed_names_stay_text(spark, rows, tmp_path):
+    stops = spark.createDataFrame(
+        [("001", "2024-10-01", "a"), ("2", "2024-10-01", "b")],
+        "feed_id string, snapshot_date string, stop_id string",
+    )
+    write_partitioned(stops, str(tmp_path / "stops"))
+    stored = read_table(spark, str(tmp_path), "stops")
+    assert rows(stored.select("feed_id", "stop_id")) == [("001", "a"), ("2", "b")]
+    assert dict(stored.dtypes)["snapshot_date"] == "date"
+
+
 def test_csv_reading(spark, rows, tmp_path):
     folder = tmp_path / "stops"
     folder.mkdir()
