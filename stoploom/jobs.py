@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit stoploom/jobs.py <job> ...`` or ``python -m stoploom.jobs``.
+"""Command line: ``spark-submit run_job.py <job> ...`` or ``python -m stoploom.jobs <job> ...``.
 
     merge          ROOT TARGET      merge a snapshot tree into tables
     routes         DATASET          distinct routes per bus feed

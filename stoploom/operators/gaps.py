@@ -30,7 +30,8 @@ def lag_per_group(
     ``slice_by`` is an expression that never decreases along ``order`` (the hour of a time,
     say). With it, keys of more than ``rows_per_task`` rows are cut at its changes: every
     slice is sorted on its own and gets one carried row, the last one of the slice before.
-    The result is the same as without.
+    The result is the same as without. Choose ``slice_by`` so fine that one slice of the
+    largest key is a fair share for a task; only large keys pay for it.
     """
     if slice_by is None:
         window = Window.partitionBy(*keys).orderBy(*[as_column(c) for c in order])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -28,14 +29,16 @@ def _counters(rules: Mapping[str, Column], notes: Mapping[str, Column]) -> list[
 
 
 def split_rejects(
-    df: DataFrame, rules: Mapping[str, Column], name: str = "rejects"
+    df: DataFrame, rules: Mapping[str, Column], name: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, rejected rows with their ``reject_reason``).
 
-    Query listeners get the counts of :func:`count_rejects` under ``name``. The metric also
+    Query listeners get the counts of :func:`count_rejects` under ``name`` (by default a new
+    one, as a query may hold each name once). The metric also
     keeps Spark from moving the filter below the rules: there it would compute the columns
     the rules look at once more per use, which costs several times the rest of the scan.
     """
+    name = name or f"rejects-{uuid.uuid4().hex}"
     tagged = tag_rejects(df, rules).observe(name, *_counters(rules, {}))
     accepted = tagged.filter(F.col(REASON).isNull()).drop(REASON)
     return accepted, tagged.filter(F.col(REASON).isNotNull())

@@ -218,6 +218,16 @@ def test_rejects(spark, rows):
     assert observation.get == expected
 
 
+def test_two_splits_in_one_query(spark, rows):
+    left = spark.createDataFrame([(1, "a"), (None, "b")], "n int, s string")
+    right = spark.createDataFrame([(1, 5), (1, -5)], "n int, m int")
+    good_left, bad_left = split_rejects(left, {"no_number": F.col("n").isNull()})
+    good_right, bad_right = split_rejects(right, {"negative": F.col("m") < 0})
+    assert rows(good_left.join(good_right, "n")) == [(1, "a", 5)]
+    reasons = bad_left.select("reject_reason").unionByName(bad_right.select("reject_reason"))
+    assert rows(reasons) == [("negative",), ("no_number",)]
+
+
 def test_stacking(spark, rows):
     a = spark.createDataFrame([(1, "x")], "id int, name string")
     b = spark.createDataFrame([("y", 2, 9)], "name string, id int, extra int")

@@ -202,7 +202,7 @@ def test_csv_reading(spark, rows, tmp_path):
     (folder / "b.csv").write_text("id;name;n\n4;z;5\n")
     (folder / "c.txt").write_text("other\n")
     pattern = f"{folder}/*.csv"
-    assert read_csv_table(spark, pattern, sep=";").dtypes == [("id", "string"), ("name", "string"), ("n", "string")]
+    assert {kind for _, kind in read_csv_table(spark, pattern, sep=";").dtypes} == {"string"}
     assert read_csv_table(spark, pattern, sep=";", infer=True).dtypes == [
         ("id", "int"),
         ("name", "string"),
