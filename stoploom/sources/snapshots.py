@@ -58,9 +58,10 @@ def _path_pattern(root: str) -> str:
 def _one_split_per_task(spark: SparkSession) -> SparkSession:
     """A session whose scans never pack two file splits into one task."""
     session = spark.newSession()
-    session.conf.set(
-        "spark.sql.files.openCostInBytes", session.conf.get("spark.sql.files.maxPartitionBytes")
-    )
+    split_size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    session.conf.set("spark.sql.files.maxPartitionBytes", split_size)
+    session.conf.set("spark.sql.files.openCostInBytes", split_size)
+    session.conf.unset("spark.sql.files.maxPartitionNum")  # it would pack splits after all
     return session
 
 
@@ -126,9 +127,7 @@ def discover(
     large = listed.filter(wanted & (size > SMALL_FILE)).select(*described).collect()
     headers = _first_lines(spark, sorted(row["path"] for row in large))
     found = [row.asDict() for row in small.collect() if row["header"]]
-    found += [
-        {**row.asDict(), "header": headers[row["path"]]} for row in large if row["path"] in headers
-    ]
+    found += [{**row.asDict(), "header": headers[row["path"]]} for row in large]
     files = [
         SnapshotFile(
             path=row["path"],
@@ -160,7 +159,11 @@ def _first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
     row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
     path = _decoded(F.col("_metadata.file_path"))
     first = lines.select(path.alias("path"), "value", row_in_task.alias("row"))
-    return {row["path"]: row["value"] for row in first.filter("row = 0").collect()}
+    headers = {row["path"]: row["value"] for row in first.filter("row = 0").collect()}
+    missing = sorted(set(paths) - set(headers))
+    if missing:
+        raise ValueError(f"no header line in the first split of {', '.join(missing[:3])}")
+    return headers
 
 
 def column_names(header: str) -> tuple[str, ...]:

@@ -123,6 +123,15 @@ def test_header_of_a_file_larger_than_a_split(spark, tmp_path, rows, monkeypatch
         spark.conf.set(key, before)
 
 
+def test_large_file_without_header_is_not_dropped_silently(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "SMALL_FILE", 10)
+    folder = tmp_path / "f" / "2024-10-01"
+    folder.mkdir(parents=True)
+    (folder / "stops.txt").write_text("\n" * 50)
+    with pytest.raises(ValueError, match="no header"):
+        merge_snapshots(spark, str(tmp_path), "stops")
+
+
 def test_plain_paths_are_not_decoded_per_row(spark, tmp_path):
     for feed in ("a", "b"):
         folder = tmp_path / feed / "date=2024-10-01"
