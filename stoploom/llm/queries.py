@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, simhash
+from . import fingerprints, quality, simhash
 from .common import table
 
 
@@ -15,6 +15,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.neighbour_edits(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -23,5 +27,6 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_document_fingerprints": op2_document_fingerprints,
     "op7_quality_rules": op7_quality_rules,
 }
