@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, quality, simhash
+from . import bpe, fingerprints, quality, simhash
 from .common import table
 
+#: The tokenizer file that op6 and the pipeline use.
+VOCABULARY = "word_bpe_49k.json"
+
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
@@ -19,6 +23,10 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.neighbour_edits(table(spark, sf_dir, "documents"))
 
 
+def op6_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), bpe.load(public_tokenizers.path(VOCABULARY)))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -28,5 +36,6 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_document_fingerprints": op2_document_fingerprints,
+    "op6_bpe_encoding": op6_bpe_encoding,
     "op7_quality_rules": op7_quality_rules,
 }
