@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, quality, simhash
+from . import bpe, fingerprints, quality, simhash, suffixes
 from .common import table
 
 #: The tokenizer file that op6 and the pipeline use.
@@ -23,6 +23,10 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.neighbour_edits(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.load(public_tokenizers.path(VOCABULARY)))
 
@@ -36,6 +40,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_document_fingerprints": op2_document_fingerprints,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op6_bpe_encoding": op6_bpe_encoding,
     "op7_quality_rules": op7_quality_rules,
 }
