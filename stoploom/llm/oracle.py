@@ -43,4 +43,93 @@ def _quality() -> str:
     """
 
 
-ORACLE: dict[str, str] = {"op7_quality_rules": _quality()}
+
+def _warc() -> str:
+    return """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    best AS (SELECT html, max(page_id) AS best FROM p GROUP BY html),
+    d AS (SELECT p.*, best, sha1(p.html) AS hex FROM p JOIN best USING (html))
+    SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+           array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               ((('0x' || substr(hex, ((i // 4) * 5 + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT + 1, 1) FOR i IN range(32)], '') AS payload_digest,
+           CASE WHEN page_id IS NOT DISTINCT FROM best THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id IS DISTINCT FROM best THEN best END AS refers_to
+    FROM d
+    """
+
+
+def _urls() -> str:
+    number = "('0x' || substr(md5(pattern), 1, 6))::INT"
+    scheme = r"^[A-Za-z][A-Za-z0-9+.\-]*://"
+    rules = [
+        ("malware", True, "domain", "host", "v % 3 = 0", "v % 200", True),
+        ("malware", True, "domain", "host", "v % 6 = 0", "v % 200 + 30 + v % 90", False),
+        ("malware", True, "domain", "host", "v % 15 = 0", "v % 200 + 150", True),
+        ("adult", True, "domain", "site", "v % 7 = 0", "v % 300", True),
+        ("ads", True, "path", "path", "v % 5 = 0", "v % 250", True),
+        ("ads", True, "path", "path", "v % 5 = 0", "v % 250 + 60", False),
+        ("partners", False, "domain", "host", "v % 4 = 1", "v % 100", True),
+        ("takedown", True, "url", "url", "v % 11 = 0", "v % 360", True),
+    ]
+    entries = " UNION ALL ".join(
+        f"SELECT '{n}' AS list, {b} AS blocks, '{k}' AS kind, pattern, DATE '2024-01-01' + ({d})::INT AS day, {x} AS listed "
+        f"FROM numbered WHERE of = '{o}' AND {w}"
+        for n, b, k, o, w, d, x in rules
+    )
+    return rf"""
+    WITH captures AS (SELECT page_id, url, DATE '2024-01-01' + (page_id % 366)::INT AS day FROM pages),
+    parsed AS (SELECT DISTINCT url,
+        nullif(regexp_replace(lower(regexp_replace(regexp_replace(regexp_extract(url, '{scheme}([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', '')), '\.$', ''), '') AS host,
+        [s FOR s IN string_split(regexp_extract(url, '{scheme}[^/?#]*([^?#]*)', 1), '/') IF s <> ''] AS steps,
+        regexp_replace(url, '#.*$', '') AS plain FROM captures),
+    known AS (SELECT *, string_split(host, '.') AS labels FROM parsed WHERE host IS NOT NULL),
+    patterns AS (SELECT DISTINCT 'host' AS of, host AS pattern FROM known
+        UNION SELECT 'site', array_to_string(labels[greatest(len(labels) - 1, 1):], '.') FROM known
+        UNION SELECT 'path', CASE WHEN len(steps) > 0 THEN host || '/' || steps[1] ELSE host END FROM known
+        UNION SELECT 'url', plain FROM known),
+    numbered AS (SELECT of, pattern, {number} AS v FROM patterns),
+    entries AS ({entries}),
+    daily AS (SELECT list, kind, pattern, day, bool_and(listed) AS listed, bool_and(blocks) AS blocks FROM entries GROUP BY ALL),
+    changes AS (SELECT * FROM daily QUALIFY listed IS DISTINCT FROM coalesce(lag(listed) OVER (PARTITION BY list, kind, pattern ORDER BY day), false)),
+    spans AS (SELECT list, blocks, kind, pattern, listed, day AS since, lead(day) OVER (PARTITION BY list, kind, pattern ORDER BY day) AS until FROM changes),
+    keyed AS (SELECT url, 'domain' AS kind, unnest([array_to_string(labels[i:], '.') FOR i IN range(1, len(labels) + 1)]) AS pattern FROM known
+        UNION SELECT url, 'path', unnest([array_to_string(list_concat([host], steps[:i]), '/') FOR i IN range(1, greatest(len(steps), 1) + 1)]) FROM known
+        UNION SELECT url, 'url', plain FROM known),
+    active AS (SELECT DISTINCT c.url, c.day, s.list, s.kind, s.pattern, s.blocks FROM captures c JOIN keyed k USING (url)
+        JOIN spans s ON s.kind = k.kind AND s.pattern = k.pattern AND s.listed AND s.since <= c.day AND (s.until IS NULL OR c.day < s.until)),
+    verdicts AS (SELECT url, day, bool_and(blocks) AS blocked, count(*) AS n_active,
+        array_to_string(list_sort(list(DISTINCT list)), ',') AS lists, min(list || '|' || kind || '|' || pattern) AS first_active
+        FROM active GROUP BY url, day)
+    SELECT page_id, c.url, c.day, coalesce(blocked, false) AS blocked, coalesce(n_active, 0) AS n_active, coalesce(lists, '') AS lists, first_active
+    FROM captures c LEFT JOIN verdicts v ON v.url = c.url AND v.day = c.day
+    """
+
+
+def _mixing() -> str:
+    return r"""
+    WITH docs AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                         md5(coalesce(doc_id::VARCHAR, 'null') || ':7') AS mark FROM documents),
+    src AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
+    ranked AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight FROM src),
+    levels AS (SELECT *, 3 * source_size AS cap, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER w, 0))::BIGINT::DOUBLE
+                      / (sum(weight) OVER () - coalesce(sum(weight) OVER w, 0))::BIGINT AS level,
+                      row_number() OVER (ORDER BY 3 * source_size::DOUBLE / weight, source NULLS LAST) AS place
+               FROM ranked WINDOW w AS (ORDER BY 3 * source_size::DOUBLE / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    one AS (SELECT arg_min(level, place) AS level FROM levels WHERE level * weight <= cap),
+    target AS (SELECT source, source_size, least(cap::DOUBLE, one.level * weight) AS target FROM levels, one),
+    quota AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS times FROM target),
+    cums AS (SELECT docs.*, source_size, target, times, target - times * source_size AS rest,
+                    coalesce(sum(size) OVER (PARTITION BY docs.source ORDER BY mark, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+             FROM docs JOIN quota ON docs.source IS NOT DISTINCT FROM quota.source)
+    SELECT doc_id, size, source_size, target,
+           CASE WHEN size > 0 THEN (times + (2 * before + size <= 2 * rest)::INT) * size ELSE 0 END::BIGINT AS taken
+    FROM cums
+    """
+
+
+ORACLE: dict[str, str] = {
+    "op3_warc": _warc(),
+    "op5_url_filters": _urls(),
+    "op7_quality_rules": _quality(),
+    "op10_mixing": _mixing(),
+}
