@@ -115,25 +115,32 @@ def parse(page: str) -> tuple[list[Block], list[int]]:
     blocks: list[Block] = []
     tokens: list[int] = []
     stack: list[tuple[str, bool, bool, str]] = []  # tag, other, article, label
-    parts: list[str] = []
+    parts: list[tuple[str, bool]] = []  # text, and whether it stands in something else
     digest = xxhash.xxh64_intdigest
 
     def flush() -> None:
-        text = " ".join(references.unescape("".join(parts)).split()) if parts else ""
+        own = "".join(t for t, other in parts if not other)
+        text = " ".join(references.unescape(own).split())
+        aside = not text
+        if aside:
+            text = " ".join(references.unescape("".join(t for t, _ in parts)).split())
         parts.clear()
         if not text:
             return
-        other, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        article = bool(stack) and stack[-1][2]
         path = tuple(s[3] for s in stack if s[0] in CONTAINERS)
         if not article:
             tokens.append(digest("/".join(path) + "\0" + text))
-        if not other:
+        if not aside:
             blocks.append(Block(text, path, article, len(tokens)))
 
+    def hold(text: str) -> None:
+        parts.append((text, bool(stack) and stack[-1][1]))
+
     at = 0
     for m in _MARKUP.finditer(page):
         if m.start() > at:
-            parts.append(page[at : m.start()])
+            hold(page[at : m.start()])
         at = m.end()
         tag = (m[3] or "").lower()
         if not tag:
@@ -145,8 +152,6 @@ def parse(page: str) -> tuple[list[Block], list[int]]:
                 if stack[k][0] == tag:
                     if tag not in BLOCKS and any(s[0] in CONTAINERS for s in stack[k + 1 :]):
                         break  # an inline end tag closes no element around it
-                    if any(s[1] != stack[-1][1] for s in stack[k:-1]):
-                        flush()
                     del stack[k:]
                     break
             continue
@@ -168,14 +173,12 @@ def parse(page: str) -> tuple[list[Block], list[int]]:
             # an article inside a form or header that wraps the whole page is still one
             wraps = all(s[0] in ("form", "header", "fieldset") for i, s in enumerate(stack) if s[1] and (i == 0 or not stack[i - 1][1]))
             other, article = other and not wraps, True
-        if out and not other and tag not in BLOCKS:
-            flush()
         label = tag + "".join(f".{w}" for w in sorted(named.get("class", "").split())[:4])
         stack.append((tag, other or out, article, label))
         if not article and tag in CONTAINERS:
             tokens.append(digest("/".join(s[3] for s in stack if s[0] in CONTAINERS)))
     if at < len(page):
-        parts.append(page[at:])
+        hold(page[at:])
     flush()
     return blocks, tokens
 

@@ -93,7 +93,7 @@ def _urls() -> str:
     changes AS (SELECT * FROM daily QUALIFY listed IS DISTINCT FROM coalesce(lag(listed) OVER (PARTITION BY list, kind, pattern ORDER BY day), false)),
     spans AS (SELECT list, blocks, kind, pattern, listed, day AS since, lead(day) OVER (PARTITION BY list, kind, pattern ORDER BY day) AS until FROM changes),
     keyed AS (SELECT url, 'domain' AS kind, unnest([array_to_string(labels[i:], '.') FOR i IN range(1, len(labels) + 1)]) AS pattern FROM known
-        UNION SELECT url, 'path', unnest([array_to_string(list_concat([host], steps[:i]), '/') FOR i IN range(1, greatest(len(steps), 1) + 1)]) FROM known
+        UNION SELECT url, 'path', unnest([array_to_string(list_concat([host], steps[:i]), '/') FOR i IN range(0, len(steps) + 1)]) FROM known
         UNION SELECT url, 'url', plain FROM known),
     active AS (SELECT DISTINCT c.url, c.day, s.list, s.kind, s.pattern, s.blocks FROM captures c JOIN keyed k USING (url)
         JOIN spans s ON s.kind = k.kind AND s.pattern = k.pattern AND s.listed AND s.since <= c.day AND (s.until IS NULL OR c.day < s.until)),

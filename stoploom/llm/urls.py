@@ -44,7 +44,7 @@ def keys_of(url: Column) -> Column:
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))))
     steps = F.filter(F.split(path_of(url), "/"), lambda s: s != "")
     paths = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(steps), F.lit(1))),
+        F.sequence(F.lit(0), F.size(steps)),
         lambda i: F.concat_ws("/", host, F.slice(steps, F.lit(1), i)),
     )
     pair = lambda kind: lambda p: F.struct(F.lit(kind).alias("kind"), p.alias("pattern"))
@@ -71,17 +71,19 @@ def judge(captures: DataFrame, intervals: DataFrame, url: str = "url", day: str
     targets = captures.select(F.col(url).alias("u"), F.col(day).alias("d")).distinct()
     keyed = targets.select("u", "d", F.explode(keys_of(F.col("u"))).alias("k")).select("u", "d", "k.kind", "k.pattern")
     active = keyed.join(intervals, ["kind", "pattern"]).where("valid_from <= d AND (valid_to IS NULL OR d < valid_to)")
-    verdicts = active.groupBy("u", "d").agg(
-        F.bool_and("blocks").alias("all_block"),
-        F.count("*").alias("n"),
-        F.array_join(F.array_sort(F.collect_set("list")), ",").alias("names"),
-        F.min(F.concat_ws("|", "list", "kind", "pattern")).alias("least"),
+    verdicts = active.groupBy(F.col("u").alias("__u"), F.col("d").alias("__d")).agg(
+        F.struct(
+            F.bool_and("blocks").alias("all_block"),
+            F.count("*").alias("n"),
+            F.array_join(F.array_sort(F.collect_set("list")), ",").alias("names"),
+            F.min(F.concat_ws("|", "list", "kind", "pattern")).alias("least"),
+        ).alias("__found")
     )
-    joined = captures.join(verdicts, same(F.col(url), F.col("u")) & same(F.col(day), F.col("d")), "left")
+    joined = captures.join(verdicts, same(captures[url], F.col("__u")) & same(captures[day], F.col("__d")), "left")
     return joined.select(
         *[captures[c] for c in captures.columns],
-        F.coalesce("all_block", F.lit(False)).alias("blocked"),
-        F.coalesce("n", F.lit(0)).cast("long").alias("n_active"),
-        F.coalesce("names", F.lit("")).alias("lists"),
-        F.col("least").alias("first_active"),
+        F.coalesce("__found.all_block", F.lit(False)).alias("blocked"),
+        F.coalesce("__found.n", F.lit(0)).cast("long").alias("n_active"),
+        F.coalesce("__found.names", F.lit("")).alias("lists"),
+        F.col("__found.least").alias("first_active"),
     )

@@ -1,0 +1,83 @@
+"""Main texts of pages made of known parts."""
+
+import random
+
+from stoploom.llm import html
+from stoploom.llm.queries import QUERIES
+
+PAGES = "page_id long, url string, html string"
+
+
+def words(rng, n):
+    return " ".join("".join(rng.choices("abcdefgh", k=rng.randint(1, 8))) for _ in range(n))
+
+
+def with_article(rng, i):
+    blocks = [words(rng, rng.randint(3, 40)) for _ in range(rng.randint(1, 6))]
+    body = f"<h1>{blocks[0]}</h1>" + "".join(f"<p>{b}</p>" for b in blocks[1:])
+    other = [
+        f"<nav><ul><li><a href='/'>{words(rng, 2)}</a></li></ul></nav>",
+        f"<header><p>{words(rng, 4)}</p></header>",
+        f"<div class='ad'>{words(rng, 5)}</div>",
+        f"<div id=cookie-notice>{words(rng, 5)}<button>ok</button></div>",
+        f"<aside><p>{words(rng, 30)}</p></aside>",
+        f"<form><label>{words(rng, 3)}</label><select><option>x</select></form>",
+    ]
+    rng.shuffle(other)
+    after = f"<section class='comments'><article class='comment'><p>{words(rng, 50)}</p></article></section><footer>&copy; {words(rng, 4)}</footer>"
+    page = f"<!DOCTYPE html><html><head><title>{words(rng, 3)}</title><style>p{{x:1}}</style><script>var t='</p>';</script></head><body>{''.join(other)}<article>{body}</article>{after}</body></html>"
+    return (i, f"http://h{i % 3}.example/{i}", page), "\n".join(blocks)
+
+
+def without_article(rng, i, menu, notice):
+    """Pages whose parts have no telling names; the template tells menu and notice from the text."""
+    blocks = [words(rng, rng.randint(20, 40)) for _ in range(rng.randint(3, 6))]
+    page = (
+        f"<html><head><title>t</title></head><body><div class='q1'><ul>{menu}</ul></div><div class='q2'><div class='q3'>"
+        f"<p>{notice}</p>{''.join(f'<p>{b}</p>' for b in blocks)}</div></div><div class='q4'><p>{words(rng, 3)}</p></div></body></html>"
+    )
+    return (i, f"http://plain.example/{i}", page), "\n".join(blocks)
+
+
+def test_articles_and_slots_of_a_template(spark, tables):
+    rng = random.Random(3)
+    made = [with_article(rng, i) for i in range(40)]
+    menu, notice = "".join(f"<li><a href='/{k}'>{words(rng, 2)}</a></li>" for k in range(5)), words(rng, 25)
+    made += [without_article(rng, 100 + i, menu, notice) for i in range(30)]
+    rows = [r for r, _ in made]
+    got = {r["page_id"]: (r["url"], r["text"], r["n_chars"]) for r in QUERIES["op9_html_extraction"](spark, tables(pages=spark.createDataFrame(rows, PAGES).repartition(4))).collect()}
+    assert got == {p: (u, t, len(t)) for (p, u, _), t in made}
+
+
+def test_references_white_space_and_broken_markup():
+    read = lambda page: html.main_text(page, None, None)
+    assert read("<article><p>a&amp;b &lt;i&gt; &eacute;&#233;&#xe9;&nbsp;x\n\t y</p>tail</article>") == "a&b <i> ééé x y\ntail"
+    assert read("<article><h1>T &amp</h1><p><b>one.<br><p>two.</p></article><footer>f</footer>") == "T &\none.\ntwo."
+    assert read("<article><p>in<em>li</em>ne <a href=x>link</a>s</p><ul><li>1<li>2</ul></article>") == "inline links\n1\n2"
+    assert read("<article><p>x</p><script>if (a<b) '</article>'</script><p>y<!-- <p>z</p> --></p></article>") == "x\ny"
+    assert read("<main><div class='post-comments'>no</div><div class='post has-sidebar'>yes</div><p hidden>no</p></main>") == "yes"
+    assert read("<body><form id=f><div><article><p>inside a form</p></article></div></form></body>") == "inside a form"
+    assert read("<article><header><h1>title</h1></header><p>t</p><aside>no</aside><footer>no</footer></article>") == "title\nt"
+    assert read("<article><p>cut off &am") == "cut off &am"
+    assert read("<article><p>open <span class=ad>no</span> end</p><textarea>no") == "open end"
+    assert read("<article><p>1 < 2 and 3 > 2</p></article>") == "1 < 2 and 3 > 2"
+    assert read("") == "" and read("plain words") == "plain words" and read("<p>a<p>b") == "a\nb"
+    assert read("<head><title>t</title><body><p>x</p>") == "x"
+    assert read("<article>" + "<p>" * 50_000 + "deep" + "<div>" * 2_000 + "er</article>") == "deep\ner"
+
+
+def test_classes_must_keep_their_order_and_nest():
+    classes = [{"tokens": [1, 2, 9]}, {"tokens": [3, 4]}, {"tokens": [5, 6]}, {"tokens": [8, 7]}]
+    assert html.template_tokens([1, 3, 2, 4, 5, 6, 9, 7, 8], classes) == {1, 2, 9, 5, 6}
+    assert html.template_tokens([], classes) == set() and html.template_tokens([1, 2, 9], None) == set()
+
+
+def test_nulls_copies_and_empty_table(spark):
+    page = "<article><p>the same text on every page</p></article>"
+    rows = [(i, "http://copies.example/", page) for i in range(12)] + [(3, "http://copies.example/", page)] * 3
+    rows += [(None, None, "<main>m</main>"), (50, None, None), (51, "http://copies.example/", None), (52, "not a url", "<p>p</p>")]
+    df = spark.createDataFrame(rows, PAGES).selectExpr("*", "1 AS host", "'x' AS data", "2 AS text")
+    got = sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in html.extract(df).collect())
+    want = [(str(i), "the same text on every page", 27) for i, _, h in rows[:15]] + [("None", "m", 1), ("50", "", 0), ("51", "", 0), ("52", "p", 1)]
+    assert got == sorted(want)
+    assert html.extract(spark.createDataFrame([], PAGES)).collect() == []
