@@ -6,7 +6,6 @@ directions, repeated snapshots, routes that change their name.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +16,11 @@ def star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder: in the cluster's shared folder if it names one, else local (tests)."""
+    """A new folder in the shared folder that the session names."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared:
-        return f"{shared}/stoploom/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"run-{name}-", dir="/tmp")
+    if not shared:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{shared}/stoploom/{name}-{uuid.uuid4().hex}"
 
 
 def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +71,7 @@ def train_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = star(spark, sf_dir, "orders")
     customer = star(spark, sf_dir, "customer")
     trips = orders.join(customer, orders.o_custkey == customer.c_custkey).selectExpr(
-        "'KTMB' AS feed_id",
+        "CASE WHEN o_orderkey % 9 = 4 THEN 'OTHER' ELSE 'KTMB' END AS feed_id",
         "explode(array('2024-10-01', '2024-10-02')) AS subdir",
         "CAST(c_nationkey AS STRING) AS route_id",
         "CAST(o_orderkey AS STRING) AS trip_id",
@@ -85,7 +84,7 @@ def train_stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as stops of a trip; minutes of the part key give times up to 25 hours."""
     minutes = "(l_partkey % 1500)"
     return star(spark, sf_dir, "lineitem").selectExpr(
-        "'KTMB' AS feed_id",
+        "CASE WHEN l_orderkey % 9 IN (4, 5) THEN 'OTHER' ELSE 'KTMB' END AS feed_id",
         "CASE WHEN l_returnflag = 'R' THEN '2024-10-02' ELSE '2024-10-01' END AS subdir",
         "CAST(l_orderkey AS STRING) AS trip_id",
         f"""CASE CAST(l_quantity AS INT) WHEN 1 THEN 'late' WHEN 2 THEN '' WHEN 3 THEN '7:61:00'
@@ -101,6 +100,7 @@ def frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
         """CASE o_orderpriority WHEN '1-URGENT' THEN 'Prasarana_RapidRailKL'
              WHEN '2-HIGH' THEN 'Prasarana_RapidBusKL' ELSE o_orderpriority END AS feed_id""",
         """CASE WHEN o_custkey % 50 = 0 THEN 'no date'
+             WHEN o_orderpriority = '5-LOW' AND weekday(o_orderdate) >= 5 THEN 'weekend'
              ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS subdir""",
         """CASE o_orderstatus WHEN 'O' THEN concat('AGL_', CAST(o_orderkey AS STRING))
              WHEN 'F' THEN concat('ZZZ_', CAST(o_orderkey AS STRING)) ELSE 'AB' END AS trip_id""",

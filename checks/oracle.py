@@ -36,12 +36,12 @@ _STOPS = """
 _STOP_SECONDS = """
   SELECT l_orderkey AS trip, l_returnflag = 'R' AS late_snapshot,
          (l_partkey % 1500) * 60 + l_linenumber * 7 AS secs
-  FROM lineitem WHERE CAST(l_quantity AS INTEGER) NOT IN (1, 2, 3)
+  FROM lineitem WHERE CAST(l_quantity AS INTEGER) NOT IN (1, 2, 3) AND l_orderkey % 9 NOT IN (4, 5)
 """
 
 _TRAIN_TRIPS = """
   SELECT o_orderkey AS trip, c_nationkey AS route, nullif(o_orderstatus, 'P') AS direction
-  FROM orders JOIN customer ON o_custkey = c_custkey
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 9 <> 4
 """
 
 # Row-wise form: every departure is kept and zero gaps are dropped after the lag.
@@ -61,7 +61,8 @@ _SERVICE = """
            WHEN '1-URGENT' THEN CASE o_orderstatus WHEN 'O' THEN 'LRT Ampang Line'
                                                    WHEN 'F' THEN 'ZZZ' ELSE 'AB' END
            WHEN '2-HIGH' THEN 'Rapid Bus KL' ELSE o_orderpriority END AS operator_name,
-         CASE WHEN o_custkey % 50 <> 0 THEN CAST(o_orderdate AS DATE) END AS day,
+         CASE WHEN o_custkey % 50 <> 0 AND NOT (o_orderpriority = '5-LOW' AND isodow(o_orderdate) >= 6)
+              THEN CAST(o_orderdate AS DATE) END AS day,
          CASE WHEN o_custkey % 50 <> 1 THEN o_custkey % 20 * 60 END AS headway,
          CASE WHEN o_custkey % 50 = 2 THEN NULL
               WHEN o_custkey % 50 = 3 THEN 4 * 3600
@@ -242,6 +243,39 @@ ORACLE: dict[str, str] = {
                max(p_retailprice) AS dearest
         FROM part GROUP BY 1
     """,
+    "csv_short_rows": """
+        SELECT p_brand, count(*) AS parts, count(*) FILTER (p_size % 4 <> 0) AS with_type,
+               count(*) FILTER (p_size % 4 NOT IN (0, 1)) AS with_price,
+               max(p_retailprice) FILTER (p_size % 4 NOT IN (0, 1)) AS dearest
+        FROM part GROUP BY p_brand
+    """,
+    "csv_one_file": """
+        SELECT n_regionkey AS region, count(*) AS nations, min(n_name) AS first, 1 AS files
+        FROM nation GROUP BY n_regionkey
+    """,
+    "table_if_database": """
+        SELECT p_brand, count(*) AS parts, CAST(sum(p_size) AS BIGINT) AS sizes, TRUE AS saved, FALSE AS elsewhere
+        FROM part GROUP BY p_brand
+    """,
+    "publish_report": """
+        SELECT p_brand AS feed_id, count(DISTINCT p_type) AS types, 1 AS files FROM part GROUP BY p_brand
+    """,
+    "merge_tables": """
+        WITH files AS (
+          SELECT 'routes' AS kind, CASE WHEN p_size % 2 = 0 THEN 'north' ELSE 'south' END AS feed_id,
+                 CASE WHEN p_size % 3 = 0 THEN '2024-10-01' WHEN p_size % 3 = 1 THEN '2024-10-02'
+                      ELSE '2024-10-05' END AS subdir,
+                 p_partkey AS id, length(p_name) AS size FROM part
+          UNION ALL
+          SELECT 'stops', CASE WHEN c_nationkey % 2 = 0 THEN 'north' ELSE 'south' END,
+                 CASE WHEN c_nationkey % 3 = 0 THEN '2024-10-01' WHEN c_nationkey % 3 = 1 THEN '2024-10-02'
+                      ELSE '2024-10-05' END,
+                 c_custkey, length(c_name) FROM customer)
+        SELECT kind, feed_id, subdir, CAST(subdir AS DATE) AS snapshot_date, count(*) AS "rows",
+               CAST(sum(id) AS BIGINT) AS ids, CAST(sum(size) FILTER (subdir <> '2024-10-01') AS BIGINT) AS sizes,
+               CASE kind WHEN 'routes' THEN 'subdir,color,route_id,route_name' ELSE 'subdir,stop_id,stop_name' END AS columns
+        FROM files WHERE subdir < '2024-10-05' GROUP BY ALL
+    """,
     "bus_routes_per_feed": """
         SELECT p_brand AS feed_id,
                count(DISTINCT CASE WHEN p_size > 1 THEN p_name || ' ' || p_type END) AS route_count

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,13 +34,13 @@ from stoploom.operators import (
     pivot_day_type,
     relabel,
     singletons,
-    split_rejects,
     switch_to_prefix,
+    tag_rejects,
     trips_from_headway,
 )
-from stoploom.sinks import write_csv
+from stoploom.sinks import publish, save_table_if_db, write_csv
 from stoploom.sources import merge_snapshots as merge_tree
-from stoploom.sources import read_csv_table
+from stoploom.sources import read_csv_table, read_table
 
 
 def distinct_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +158,9 @@ def relabel_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = names.select(
         F.col("n_nationkey").cast("string").alias("key"), F.col("n_name").alias("label")
     )
-    return relabel(customer, "operator", labels)
+    # a key that comes twice must not multiply rows
+    again = labels.select("key", F.concat("label", F.lit(" (again)")).alias("label"))
+    return relabel(customer, "operator", labels.unionByName(again))
 
 
 def clock_to_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,7 +171,10 @@ def clock_to_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "view", F.concat(F.lit("  0"), F.concat_ws(":", hour, minutes)))
         .when(F.col("event_type") == "error", F.concat_ws(":", hour + 24, minutes))
         .when(F.col("event_type") == "signup", F.lit(" "))
-        .otherwise(F.concat_ws(":", hour, F.lit("75"), F.lit("00")))
+        .when(F.col("event_id") % 4 == 0, F.concat_ws(":", hour, F.lit("75"), F.lit("00")))
+        .when(F.col("event_id") % 4 == 1, F.concat(F.lit("-"), F.concat_ws(":", F.lit("0"), minutes)))
+        .when(F.col("event_id") % 4 == 2, F.concat(F.lit("+"), F.concat_ws(":", hour, minutes)))
+        .otherwise(F.concat_ws(": ", hour, minutes))
     )
     events = star(spark, sf_dir, "events")
     return events.select("event_id", clock_seconds(text).alias("clock_seconds"))
@@ -293,6 +299,107 @@ def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_short_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that end early have NULL in the fields they lack."""
+    target = scratch(spark, "short")
+    price = F.when(F.col("p_size") % 4 != 1, F.concat(F.lit(","), F.col("p_retailprice")))
+    more = F.concat(F.lit(',"'), F.col("p_type"), F.lit(', x"'), F.coalesce(price, F.lit("")))
+    line = F.concat("p_brand", F.when(F.col("p_size") % 4 != 0, more).otherwise(""))
+    rows = star(spark, sf_dir, "part").select(line.alias("brand,type,price"))
+    # as a one-column file whose lines are written as they are
+    rows.write.option("header", True).option("quote", "\u0000").option("escapeQuotes", False).option("sep", "\u0001").csv(target)
+    table = read_csv_table(spark, target)
+    return table.groupBy(F.col("brand").alias("p_brand")).agg(
+        F.count("*").alias("parts"),
+        F.count("type").alias("with_type"),
+        F.count("price").alias("with_price"),
+        F.max(F.col("price").cast("double")).alias("dearest"),
+    )
+
+
+def csv_one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file, written twice to one path: the second write replaces the first."""
+    target = scratch(spark, "one")
+    nation = star(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey", "n_name")
+    write_csv(nation.unionByName(nation), target, one_file=True)
+    write_csv(nation.repartition(4, "n_nationkey"), target, one_file=True)
+    table = read_csv_table(spark, target, infer=True).withColumn("file", F.input_file_name())
+    files = F.lit(table.select("file").distinct().count())
+    named = table.groupBy(F.col("n_regionkey").cast("bigint").alias("region"))
+    return named.agg(F.count("*").alias("nations"), F.min("n_name").alias("first"), F.first(files).alias("files"))
+
+
+def table_if_database(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table saved twice, so that the second replaces the first; no table without its database."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS stoploom_checks")
+    part = star(spark, sf_dir, "part").select("p_brand", "p_size")
+    name = f"parts_{uuid.uuid4().hex}"
+    save_table_if_db(part.unionByName(part), "stoploom_checks", name)
+    saved = save_table_if_db(part, "stoploom_checks", name)
+    elsewhere = save_table_if_db(part, "stoploom_absent", name)
+    return (
+        spark.table(f"stoploom_checks.{name}")
+        .groupBy("p_brand")
+        .agg(F.count("*").alias("parts"), F.sum(F.col("p_size").cast("bigint")).alias("sizes"))
+        .withColumns({"saved": F.lit(saved), "elsewhere": F.lit(elsewhere)})
+    )
+
+
+def publish_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report that goes to a path whole, its database being absent."""
+    target = scratch(spark, "report")
+    part = star(spark, sf_dir, "part")
+    report = part.groupBy(F.col("p_brand").alias("feed_id")).agg(F.count_distinct("p_type").alias("types"))
+    publish(report, "types_per_brand", database="stoploom_absent", path=target)
+    table = read_csv_table(spark, target).withColumn("file", F.input_file_name())
+    files = table.select("file").distinct().count()
+    return table.select("feed_id", F.col("types").cast("bigint").alias("types"), F.lit(files).alias("files"))
+
+
+def _write_table_files(spark: SparkSession, rows: DataFrame, root: str, name: str) -> None:
+    """``<root>/<feed>/<date>/<name>.txt``, one for each feed and date of ``rows``."""
+    staged = f"{root}-{name}-{uuid.uuid4().hex}"
+    rows.repartition(4, "feed", "subdir").write.partitionBy("feed", "subdir").option("header", True).csv(staged)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    pattern = hadoop.Path(f"{staged}/feed=*/subdir=*/part-*.csv")
+    store = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in store.globStatus(pattern):
+        feed, day = (p.partition("=")[2] for p in status.getPath().getParent().toString().rsplit("/", 2)[1:])
+        store.mkdirs(hadoop.Path(f"{root}/{feed}/{day}"))
+        store.rename(status.getPath(), hadoop.Path(f"{root}/{feed}/{day}/{name}.txt"))
+
+
+def merge_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts and customers as two tables of dated snapshots, merged by the merge job and read back.
+
+    The tree also holds a table outside the allow-list, a folder that is no date and a snapshot after
+    the range; headers differ by date."""
+    root, target = scratch(spark, "tree"), scratch(spark, "merged")
+    place = "CASE WHEN {c} % 2 = 0 THEN 'north' ELSE 'south' END AS feed"
+    day = "CASE {c} % 3 WHEN 0 THEN '2024-10-01' WHEN 1 THEN '2024-10-02' ELSE '2024-10-05' END AS subdir"
+    part, customer = star(spark, sf_dir, "part"), star(spark, sf_dir, "customer")
+    routes = part.selectExpr(place.format(c="p_size"), day.format(c="p_size"), "p_partkey AS route_id", "p_name AS route_name", "'x' AS color")
+    stops = customer.selectExpr(place.format(c="c_nationkey"), day.format(c="c_nationkey"), "c_custkey AS stop_id", "c_name AS stop_name")
+    first = "subdir = '2024-10-01'"
+    for name, rows, key, later in (("routes", routes, "route_id", ["route_name", "color", "route_id"]), ("stops", stops, "stop_id", ["stop_name", "stop_id"])):
+        _write_table_files(spark, rows.where(first).select("feed", "subdir", key), root, name)
+        _write_table_files(spark, rows.where(f"NOT {first}").select("feed", "subdir", *later), root, name)
+    _write_table_files(spark, stops.where(first), root, "notes")
+    _write_table_files(spark, stops.where(first).withColumn("subdir", F.lit("archive")), root, "stops")
+    plans.merge_schedule(spark, root, target, ["routes", "stops", "trips"], ["north", "south", "west"], "2024-10-01", "2024-10-04")
+    parts = []
+    for kind, key, text in (("routes", "route_id", "route_name"), ("stops", "stop_id", "stop_name")):
+        table = read_table(spark, target, kind)
+        order = ",".join(c for c in table.columns if c not in ("feed_id", "snapshot_date"))
+        grouped = table.groupBy(F.lit(kind).alias("kind"), "feed_id", "subdir", "snapshot_date").agg(
+            F.count("*").alias("rows"),
+            F.sum(F.col(key).cast("bigint")).alias("ids"),
+            F.sum(F.length(text)).alias("sizes"),
+        )
+        parts.append(grouped.withColumn("columns", F.lit(order)))
+    return parts[0].unionByName(parts[1])
+
+
 def bus_routes_per_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.routes_per_feed(frames.routes(spark, sf_dir))
 
@@ -343,14 +450,11 @@ def rejected_service(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accepted and rejected rows side by side."""
+    """Accepted and rejected rows by reason, in one scan."""
     orders = star(spark, sf_dir, "orders").select("o_orderstatus", "o_totalprice")
-    accepted, rejected = split_rejects(
-        orders,
-        {"cheap": F.col("o_totalprice") < 20000, "open": F.col("o_orderstatus") == "O"},
-    )
-    both = accepted.withColumn("reject_reason", F.lit("accepted")).unionByName(rejected)
-    return both.groupBy("o_orderstatus", "reject_reason").agg(F.count("*").alias("orders"))
+    rules = {"cheap": F.col("o_totalprice") < 20000, "open": F.col("o_orderstatus") == "O"}
+    reason = F.coalesce("reject_reason", F.lit("accepted")).alias("reject_reason")
+    return tag_rejects(orders, rules).groupBy("o_orderstatus", reason).agg(F.count("*").alias("orders"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -376,7 +480,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "day_type_pivot": day_type_pivot,
     "merge_snapshots": merge_snapshots,
     "merge_feeds": stacked_feeds,
+    "merge_tables": merge_tables,
     "csv_scan_inferred": csv_scan_inferred,
+    "csv_short_rows": csv_short_rows,
+    "csv_one_file": csv_one_file,
+    "table_if_database": table_if_database,
+    "publish_report": publish_report,
     "bus_routes_per_feed": bus_routes_per_feed,
     "disconnected_stops": disconnected_stops,
     "disconnected_stops_exclusive": disconnected_stops_exclusive,

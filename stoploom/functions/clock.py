@@ -12,16 +12,12 @@ def clock_seconds(time: ColumnOrName) -> Column:
     """Seconds since midnight of an ``H:MM:SS`` text, as BIGINT.
 
     Service days run past midnight, so any hour count is legal (``25:10:00`` is 90600).
-    One-digit fields are accepted. Anything else, blanks included, gives NULL.
+    One-digit fields are accepted. Anything else, signs and blanks included, gives NULL.
     """
-    parts = F.split(F.trim(as_column(time)), ":")
+    text = F.trim(as_column(time))
+    parts = F.split(text, ":")
     hours, minutes, seconds = (F.get(parts, F.lit(i)).try_cast("int") for i in range(3))
-    valid = (
-        (F.size(parts) == 3)
-        & (hours >= 0)
-        & minutes.between(0, 59)
-        & seconds.between(0, 59)
-    )
+    valid = text.rlike(r"^[0-9]+:[0-9]{1,2}:[0-9]{1,2}$") & hours.isNotNull() & (minutes < 60) & (seconds < 60)
     return F.when(valid, hours.cast("bigint") * 3600 + minutes * 60 + seconds)
 
 

@@ -5,6 +5,11 @@
     stops          DATASET          disconnected stops per feed
     waiting-time   DATASET          waiting time per route
     day-type       DATASET          average trips by day type
+    intervals      DATASET          gaps between departures
+    quality        DATASET          counts of rejected service windows
+    rejected       DATASET          rejected service windows
+
+Reports go to ``--database``, to ``--out`` or, without either, to the console.
 """
 
 from __future__ import annotations
@@ -32,12 +37,14 @@ def build_parser() -> argparse.ArgumentParser:
     merge.add_argument("--first-day", default=schedule.FIRST_DAY)
     merge.add_argument("--last-day", default=schedule.LAST_DAY)
     merge.add_argument("--format", choices=("parquet", "csv"), default="parquet")
+    merge.add_argument("--only-touched", action="store_true", help="keep folders of other dates")
 
     def report(name: str) -> argparse.ArgumentParser:
         job = jobs.add_parser(name)
         job.add_argument("dataset")
         job.add_argument("--format", choices=("parquet", "csv"), default="parquet")
-        job.add_argument("--database", help="save there if it exists, else print")
+        job.add_argument("--database", help="save there; it must exist unless --out is given")
+        job.add_argument("--out", help="folder for the result as one CSV file")
         return job
 
     report("routes")
@@ -47,6 +54,10 @@ def build_parser() -> argparse.ArgumentParser:
     waiting = report("waiting-time")
     waiting.add_argument("--feed", default=schedule.TRAIN_FEED)
     waiting.add_argument("--by-snapshot", action="store_true")
+    waiting.add_argument("--dash", action="store_true", help="blanks in names as dashes")
+    report("intervals").add_argument("--feed", default=schedule.TRAIN_FEED)
+    report("quality")
+    report("rejected")
     day_type = report("day-type")
     day_type.add_argument("--rounding", choices=("truncate", "half_up"), default="truncate")
     day_type.add_argument("--wide", action="store_true", help="a column per day type")
@@ -65,9 +76,16 @@ def _report(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, s
         return result, schedule.STOPS_TABLE
     if args.job == "waiting-time":
         result = analyses.waiting_time(
-            table("routes"), table("trips"), table("stop_times"), args.feed, args.by_snapshot
+            table("routes"), table("trips"), table("stop_times"), args.feed, args.by_snapshot, args.dash
         )
         return result, schedule.WAITING_TABLE
+    if args.job == "intervals":
+        result = analyses.departure_intervals(table("routes"), table("trips"), table("stop_times"), args.feed)
+        return result, schedule.INTERVALS_TABLE
+    if args.job == "quality":
+        return analyses.service_quality(table("frequencies")), schedule.QUALITY_TABLE
+    if args.job == "rejected":
+        return analyses.rejected_service(table("frequencies")), schedule.REJECTED_TABLE
     if args.wide:
         result = analyses.average_trips_wide(table("frequencies"), args.rounding, fill=args.fill)
     else:
@@ -88,10 +106,11 @@ def main(argv: Sequence[str] | None = None) -> None:
             first_day=args.first_day,
             last_day=args.last_day,
             fmt=args.format,
+            only_touched=args.only_touched,
         )
     else:
         result, name = _report(spark, args)
-        publish(result, args.database, name)
+        publish(result, name, args.database, args.out)
 
 
 if __name__ == "__main__":

@@ -28,12 +28,13 @@ def relabel(df: DataFrame, column: str, mapping: Mapping[str, str] | DataFrame)
     """Replace the values of ``column`` found in ``mapping``; others pass through.
 
     A dict becomes a CASE expression and suits a few dozen labels. A longer dictionary is
-    given as a DataFrame with columns ``key`` (unique) and ``label`` and is joined; Spark
-    broadcasts it when it is below its size threshold and shuffles it otherwise.
+    given as a DataFrame with columns ``key`` and ``label`` and is joined; Spark broadcasts it
+    when it is below its size threshold and shuffles it otherwise. Of several labels for one key
+    the smallest counts, so that a row never multiplies.
     """
     if not isinstance(mapping, DataFrame):
         return df.replace(dict(mapping), subset=[column]) if mapping else df
-    labels = mapping.select(F.col("key").alias("_key"), F.col("label").alias("_label"))
+    labels = mapping.groupBy(F.col("key").alias("_key")).agg(F.min("label").alias("_label"))
     joined = df.join(labels, F.col(column) == F.col("_key"), "left")
     relabelled = F.when(F.col("_key").isNotNull(), F.col("_label")).otherwise(F.col(column))
     return joined.withColumn(column, relabelled).select(*df.columns)
@@ -61,11 +62,12 @@ def avg_by_day_type(
     value: str,
     rounding: str = "truncate",
     out: str = "avg_daily_trips",
+    ordered: bool = True,
 ) -> DataFrame:
     """Mean of the daily sums of ``value`` per operator and day type, as a whole number.
 
     NULL values add nothing; days without any value, and the NULL day, do not count.
-    ``rounding`` is ``truncate`` (towards zero) or ``half_up``.
+    ``rounding`` is ``truncate`` (towards zero) or ``half_up``. ``ordered`` sorts the result.
     """
     if rounding not in ("truncate", "half_up"):
         raise ValueError(f"rounding must be 'truncate' or 'half_up', not {rounding!r}")
@@ -73,13 +75,13 @@ def avg_by_day_type(
     if rounding == "half_up":
         mean = F.floor(mean + 0.5)
     daily = daily_sum(df, [operator], day, value, "_daily")
-    return (
+    averages = (
         daily.filter(F.col(day).isNotNull() & F.col("_daily").isNotNull())
         .withColumn("day_type", day_type(day))
         .groupBy(operator, "day_type")
         .agg(mean.cast("bigint").alias(out))
-        .orderBy(operator, "day_type")
     )
+    return averages.orderBy(operator, "day_type") if ordered else averages
 
 
 def pivot_day_type(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -30,48 +31,47 @@ def lag_per_group(
     ``slice_by`` is an expression that never decreases along ``order`` (the hour of a time,
     say). With it, keys of more than ``rows_per_task`` rows are cut at its changes: every
     slice is sorted on its own and gets one carried row, the last one of the slice before.
-    The result is the same as without. Choose ``slice_by`` so fine that one slice of the
-    largest key is a fair share for a task; only large keys pay for it.
+    The result is the same as without; where a cut key breaks the rule, the job fails. Choose
+    ``slice_by`` so fine that one slice of the largest key is a fair share for a task.
     """
     if slice_by is None:
         window = Window.partitionBy(*keys).orderBy(*[as_column(c) for c in order])
         return df.withColumn(out, F.lag(value).over(window))
+    if any(re.search(r"\b(ASC|DESC)\b", str(c)) for c in order if isinstance(c, Column)):
+        raise ValueError("with slice_by, order takes ascending columns; negate what should fall")
 
     computed = {f"_o{i}": c for i, c in enumerate(order) if isinstance(c, Column)}
     ranks = [f"_o{i}" if isinstance(c, Column) else c for i, c in enumerate(order)]
-    base = df.withColumns(computed)
-    large = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > rows_per_task)
-        .select(*[F.col(k).alias(f"_large_{k}") for k in keys], "_n")
+    base = df.withColumns({**computed, "_slice": slice_by})
+    # One row for each key and slice; partial counts leave the map tasks.
+    slices = base.groupBy(*keys, "_slice").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min(F.struct(*ranks)).alias("_first"),
+        F.max(F.struct(*ranks, F.col(value).alias("_value"))).alias("_last"),
     )
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_large_{k}")) for k in keys]
+    of_key = Window.partitionBy(*keys)
+    along = of_key.orderBy("_slice")
+    held = slices.withColumns(
+        {
+            "_total": F.sum("_n").over(of_key),
+            "_next": F.lead("_slice").over(along),
+            "_from": F.lead("_first").over(along),
+        }
+    ).filter(F.col("_total") > rows_per_task)
+    broken = F.col("_from").isNotNull() & (F.struct(*[F.col("_last").getField(r) for r in ranks]) > F.col("_from"))
+    checked = F.when(broken, F.raise_error(F.lit("slice_by decreases along order"))).otherwise(F.lit(1))
+    large = held.groupBy(*[F.col(k).alias(f"_large_{k}") for k in keys]).agg(F.max(checked).alias("_cut"))
+    same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_large_{k}")) for k in keys])
+    rows = base.join(large, same_key, "left").select(
+        *[c for c in base.columns if c != "_slice"],
+        F.when(F.col("_cut") == 1, F.col("_slice")).alias("_slice"),
+        F.lit(1).alias("_own"),
     )
-    # At most (all rows / rows_per_task) keys are large, which bounds the broadcast. Both
-    # joins read the same columns of it, so that Spark builds it once.
-    in_slice = F.when(F.col("_n") > 0, slice_by)
-    rows = (
-        base.join(F.broadcast(large), same_key, "left")
-        .withColumns({"_slice": in_slice, "_own": F.lit(1)})
-        .select(*base.columns, "_slice", "_own")
-    )
-    last = (
-        base.join(F.broadcast(large), same_key, "inner")
-        .groupBy(*keys, in_slice.alias("_slice"))
-        .agg(F.max(F.struct(*ranks, F.col(value).alias("_value"))).alias("_last"))
-    )
-    following = F.lead("_slice").over(Window.partitionBy(*keys).orderBy("_slice"))
-    carried = (
-        last.withColumn("_slice", following)
-        .filter(F.col("_slice").isNotNull())
-        .select(
-            *keys,
-            *([F.col("_last._value").alias(value)] if value not in keys else []),
-            "_slice",
-            F.lit(0).alias("_own"),
-        )
+    carried = held.filter(F.col("_from").isNotNull()).select(
+        *keys,
+        *([F.col("_last._value").alias(value)] if value not in keys else []),
+        F.col("_next").alias("_slice"),
+        F.lit(0).alias("_own"),
     )
     # A carried row comes first in its slice and holds nothing but its key and its value.
     in_order = Window.partitionBy(*keys, "_slice").orderBy("_own", *ranks)

@@ -188,6 +188,7 @@ def average_trips(
     rounding: str = "truncate",
     names: Mapping[str, str] | DataFrame = OPERATOR_NAMES,
     observation: Observation | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
     """Mean daily trips per operator and day type: ``operator_name, day_type, avg_daily_trips``.
 
@@ -198,7 +199,7 @@ def average_trips(
         windows = observe_rejects(windows, service_rules(), observation, service_notes())
     # A rejected row has no day or no number of trips and so adds nothing. Filtering it
     # here would only make Spark parse the texts twice.
-    return avg_by_day_type(windows, "operator_name", "snapshot_day", "num_trips", rounding)
+    return avg_by_day_type(windows, "operator_name", "snapshot_day", "num_trips", rounding, ordered=ordered)
 
 
 def average_trips_wide(
@@ -208,7 +209,8 @@ def average_trips_wide(
     fill: int | None = None,
 ) -> DataFrame:
     """:func:`average_trips` with a column per day type."""
-    return pivot_day_type(average_trips(frequencies, rounding, names), "operator_name", fill=fill)
+    averages = average_trips(frequencies, rounding, names, ordered=False)
+    return pivot_day_type(averages, "operator_name", fill=fill)
 
 
 def service_quality(frequencies: DataFrame) -> DataFrame:

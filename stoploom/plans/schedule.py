@@ -51,3 +51,6 @@ ROUTES_TABLE = "route_count_per_feed"
 STOPS_TABLE = "disconnected_stops_per_feed"
 WAITING_TABLE = "route_waiting_time_stats"
 DAY_TYPE_TABLE = "avg_trips_by_day_type"
+INTERVALS_TABLE = "departure_intervals"
+QUALITY_TABLE = "service_quality"
+REJECTED_TABLE = "rejected_service"

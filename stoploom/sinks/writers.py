@@ -6,8 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-ONE_FILE_ROWS = 1_000_000
-
 
 def write_partitioned(
     df: DataFrame,
@@ -27,18 +25,13 @@ def write_partitioned(
     writer.parquet(path)
 
 
-def write_csv(
-    df: DataFrame, path: str, one_file: bool = False, one_file_rows: int = ONE_FILE_ROWS
-) -> bool:
-    """Headered CSV files below ``path``. Returns whether a single file was written.
+def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
+    """Headered CSV files below ``path``.
 
-    ``one_file`` is for reports: the rows are put into one file if there are no more than
-    ``one_file_rows`` of them. Larger results are written whole, by many tasks.
+    With ``one_file`` one task writes all rows to a single file, which suits reports.
     """
-    single = one_file and df.limit(one_file_rows + 1).count() <= one_file_rows
-    target = df.coalesce(1) if single else df
+    target = df.coalesce(1) if one_file else df
     target.write.mode("overwrite").option("header", True).csv(path)
-    return single
 
 
 def save_table_if_db(df: DataFrame, database: str, table: str) -> bool:
@@ -49,9 +42,24 @@ def save_table_if_db(df: DataFrame, database: str, table: str) -> bool:
     return True
 
 
-def publish(df: DataFrame, database: str | None, table: str, rows: int = 20) -> bool:
-    """Save as a table if the database exists, else print the first ``rows`` rows."""
-    if database and save_table_if_db(df, database, table):
-        return True
-    df.show(rows, truncate=False)
-    return False
+def print_rows(df: DataFrame) -> None:
+    """Every row as tab-separated text, a header first; the driver holds one partition at a time."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if value is None else str(value) for value in row))
+
+
+def publish(df: DataFrame, table: str, database: str | None = None, path: str | None = None) -> DataFrame:
+    """Save ``df`` whole as a table of ``database``, as one CSV file below ``path``, or print all of it.
+
+    Both are done if both are given. A database that does not exist is an error without ``path``.
+    Returns ``df``.
+    """
+    saved = database is not None and save_table_if_db(df, database, table)
+    if path is not None:
+        write_csv(df, path, one_file=True)
+    elif database is not None and not saved:
+        raise ValueError(f"there is no database {database!r}; name one that exists or an output path")
+    elif not saved:
+        print_rows(df)
+    return df

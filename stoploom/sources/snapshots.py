@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -23,8 +25,8 @@ from stoploom.functions.clock import snapshot_day
 from stoploom.operators.align import stack_by_name
 
 STAMPED = ("feed_id", "subdir", "snapshot_date")
-SMALL_FILE = 16 * 2**20
-FIRST_LINE = r"^\s*([^\r\n]*\S)"
+#: Bytes that a header is looked for in at a time.
+HEADER_BLOCK = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -55,16 +57,6 @@ def _path_pattern(root: str) -> str:
     return rf"^([^/]*?(?://[^/]*)?\Q{local}\E/)([^/]+)/(?:.*/)?{day}/[^/]+$"
 
 
-def _one_split_per_task(spark: SparkSession) -> SparkSession:
-    """A session whose scans never pack two file splits into one task."""
-    session = spark.newSession()
-    split_size = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    session.conf.set("spark.sql.files.maxPartitionBytes", split_size)
-    session.conf.set("spark.sql.files.openCostInBytes", split_size)
-    session.conf.unset("spark.sql.files.maxPartitionNum")  # it would pack splits after all
-    return session
-
-
 def _literal(paths: Sequence[str]) -> list[str]:
     """Paths with the wild-card characters of Spark's readers escaped."""
     return [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths]
@@ -85,9 +77,8 @@ def discover(
     ``part-*.csv``) one table whose files have other names can be read. Folders that are
     not dates are ignored. Missing feeds are skipped.
 
-    Only path and first line of each file come back, the size of a file listing. Finding
-    the lines reads the files once as plain text, a small part of the cost of parsing them.
-    Empty files are left out.
+    Only path and first line of each file come back, the size of a file listing; the data behind
+    the header is not read. Files of no bytes are left out, a file of blank lines is an error.
     """
     if file_glob is not None and len(tables) != 1:
         raise ValueError("file_glob names the files of exactly one table")
@@ -104,7 +95,6 @@ def discover(
         wanted &= day >= F.lit(str(first_day)).cast("date")
     if last_day is not None:
         wanted &= day <= F.lit(str(last_day)).cast("date")
-    size = F.col("_metadata.file_size")
     described = [
         path.alias("path"),
         feed.alias("feed"),
@@ -117,17 +107,12 @@ def discover(
         "recursiveFileLookup": True,
         "pathGlobFilter": file_glob or "{" + ",".join(f"{t}.txt" for t in tables) + "}",
     }
-    # Small files are read whole, one row each and many per task. Of large ones only names
-    # and sizes are read here (binaryFile opens no file without its content column).
-    whole = spark.read.options(**options).text(root, wholetext=True)
-    small = whole.filter(wanted & (size <= SMALL_FILE)).select(
-        *described, F.regexp_extract("value", FIRST_LINE, 1).alias("header")
-    )
+    # Only names and sizes are read here (binaryFile opens no file without its content column).
     listed = spark.read.format("binaryFile").options(**options).load(root)
-    large = listed.filter(wanted & (size > SMALL_FILE)).select(*described).collect()
-    headers = _first_lines(spark, sorted(row["path"] for row in large))
-    found = [row.asDict() for row in small.collect() if row["header"]]
-    found += [{**row.asDict(), "header": headers[row["path"]]} for row in large]
+    found = with_headers(listed.filter(wanted & (F.col("length") > 0)).select(*described)).collect()
+    blank = sorted(row["path"] for row in found if row["header"] is None)
+    if blank:
+        raise ValueError(f"no header line in {', '.join(blank[:3])}")
     files = [
         SnapshotFile(
             path=row["path"],
@@ -143,27 +128,46 @@ def discover(
     return sorted(files, key=lambda f: (f.table, f.feed, f.day, f.path))
 
 
-def _first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
-    """First line that is not blank of each (large) file, by path.
+def with_headers(files: DataFrame) -> DataFrame:
+    """``files`` (with a ``path``) and the first line of each that is not blank, as ``header``.
 
-    A task reads one split, and its first line is the header if the split starts the file.
+    Tasks open the files and read them block by block up to the end of that line, whatever its
+    length and that of the file. Blank is what Spark's CSV reader skips before a header: nothing
+    but white space and control characters. NULL for a file without such a line.
     """
-    if not paths:
-        return {}
-    lines = (
-        _one_split_per_task(spark)
-        .read.text(_literal(paths))
-        .filter(F.col("_metadata.file_block_start") == 0)
-        .filter(F.trim("value") != "")
-    )
-    row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
-    path = _decoded(F.col("_metadata.file_path"))
-    first = lines.select(path.alias("path"), "value", row_in_task.alias("row"))
-    headers = {row["path"]: row["value"] for row in first.filter("row = 0").collect()}
-    missing = sorted(set(paths) - set(headers))
-    if missing:
-        raise ValueError(f"no header line in the first split of {', '.join(missing[:3])}")
-    return headers
+    block = HEADER_BLOCK
+
+    def first_line(file) -> str | None:
+        rest, end = b"", False
+        while not end:
+            got = file.read(block)
+            end = not got
+            lines = re.split(rb"\r\n|\r|\n", rest + got)
+            rest = b"" if end else lines.pop()
+            for line in lines:
+                text = line.decode("utf-8", "replace")
+                if text.strip("".join(map(chr, range(33))) + "\ufeff"):
+                    return text
+        return None
+
+    def read(batches):
+        stores: dict[str, tuple] = {}
+        for batch in batches:
+            headers = []
+            for path in batch.column("path").to_pylist():
+                scheme, authority, name = re.fullmatch(r"(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/]*))?(/.*)", path).groups()
+                place = f"{scheme or 'file'}://{authority or ''}/"
+                if place not in stores:
+                    stores[place] = fs.FileSystem.from_uri(place)
+                store, base = stores[place]
+                with store.open_input_stream(base.rstrip("/") + name, compression=None) as file:
+                    headers.append(first_line(file))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(headers, pa.string())], names=[*batch.schema.names, "header"]
+            )
+
+    schema = StructType([*files.schema.fields, StructField("header", StringType())])
+    return files.mapInArrow(read, schema)
 
 
 def column_names(header: str) -> tuple[str, ...]:

@@ -42,6 +42,10 @@ def apply(spark, column, value, kind="string"):
         ("9:60:00", None),
         ("9:00:60", None),
         ("-1:00:00", None),
+        ("-0:30:00", None),
+        ("+7:00:00", None),
+        ("7: 05:00", None),
+        ("7:005:00", None),
         ("a:00:00", None),
         ("9:00:00.5", None),
         ("2147483647:00:00", 2147483647 * 3600),

@@ -118,6 +118,15 @@ def test_lag_in_slices_equals_plain_lag(spark, rows, bound):
     assert rows(cut) == rows(plain)
 
 
+def test_lag_refuses_what_it_can_not_cut(spark):
+    df = spark.range(6).selectExpr("1 AS k", "id AS t", "id AS v")
+    with pytest.raises(ValueError, match="ascending"):
+        lag_per_group(df, ["k"], [F.desc("t")], "v", "p", slice_by=F.col("t"))
+    broken = lag_per_group(df, ["k"], ["t"], "v", "p", slice_by=F.col("t") % 2, rows_per_task=3)
+    with pytest.raises(Exception, match="slice_by decreases"):
+        broken.collect()
+
+
 def test_lag_in_slices_with_two_keys(spark, rows):
     df = spark.range(300).selectExpr("id % 2 AS a", "id % 3 AS b", "id AS t", "id * 2 AS v")
     plain = lag_per_group(df, ["a", "b"], ["t"], "v", "p")
@@ -240,3 +249,9 @@ def test_stacking(spark, rows):
     assert merge_feeds({"none": None}) is None
     with pytest.raises(ValueError, match="nothing"):
         stack_by_name([])
+
+
+def test_relabel_never_multiplies_rows(spark, rows):
+    names = spark.createDataFrame([("a", "A2"), ("a", "A1"), ("b", None), (None, "N")], "key string, label string")
+    df = spark.createDataFrame([("a",), ("a",), ("b",), ("c",), (None,)], "x string")
+    assert rows(relabel(df, "x", names)) == [(None,), (None,), ("A1",), ("A1",), ("c",)]

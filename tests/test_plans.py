@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import Observation
 
+from stoploom.plans import merge_schedule
 from stoploom import jobs, plans
 from stoploom.plans.analyses import service_windows
 
@@ -201,15 +202,34 @@ def test_reports_from_the_command_line(
         df.write.option("header", True).csv(f"{data}/{name}")
         df.write.parquet(f"{data}-parquet/{name}")
     outputs = {}
-    for job in (["routes"], ["stops"], ["waiting-time"], ["day-type"], ["day-type", "--wide", "--fill=0"]):
+    for job in (["routes"], ["stops"], ["waiting-time"], ["waiting-time", "--dash"], ["intervals"], ["quality"], ["rejected"],
+                ["day-type"], ["day-type", "--wide", "--fill=0"]):
         for arguments in ([data, "--format=csv"], [data + "-parquet"]):
             jobs.main([job[0], *arguments, *job[1:]])
             outputs.setdefault(tuple(job), set()).add(capsys.readouterr().out)
     assert all(len(texts) == 1 for texts in outputs.values())
-    assert "|Port Klang Line |20.0                |31.0" in outputs[("waiting-time",)].pop()
-    assert "|LRT Ampang Line|weekend |12" in outputs[("day-type",)].pop()
-    assert "|other  |1          |" in outputs[("routes",)].pop()
-    assert "|a      |2         |" in outputs[("stops",)].pop()
+    assert "Port Klang Line\t20.0\t31.0" in outputs[("waiting-time",)].pop()
+    assert "Port-Klang-Line\t20.0\t31.0" in outputs[("waiting-time", "--dash")].pop()
+    assert "LRT Ampang Line\tweekend\t12" in outputs[("day-type",)].pop()
+    assert "other\t1" in outputs[("routes",)].pop()
+    assert "a\t2" in outputs[("stops",)].pop()
+    jobs.main(["stops", data + "-parquet", "--database", "absent", "--out", str(tmp_path / "report")])
+    assert [tuple(r) for r in spark.read.option("header", True).csv(str(tmp_path / "report")).collect()] == [("a", "2")]
+    with pytest.raises(ValueError, match="absent"):
+        jobs.main(["stops", data + "-parquet", "--database", "absent"])
+
+
+def test_ranges_merged_in_turn_are_all_kept(spark, tmp_path):
+    for day in ("2024-10-01", "2024-10-02"):
+        folder = tmp_path / "raw" / "KTMB" / day
+        folder.mkdir(parents=True)
+        (folder / "agency.txt").write_text(f"agency_id\n{day}\n")
+        arguments = ["--first-day", day, "--last-day", day, "--only-touched"]
+        jobs.main(["merge", str(tmp_path / "raw"), str(tmp_path / "out"), *arguments])
+    stored = spark.read.parquet(str(tmp_path / "out" / "agency"))
+    assert sorted(r.agency_id for r in stored.collect()) == ["2024-10-01", "2024-10-02"]
+    with pytest.raises(ValueError, match="only_touched"):
+        merge_schedule(spark, str(tmp_path / "raw"), str(tmp_path / "csv"), fmt="csv", only_touched=True)
 
 
 def test_merge_from_the_command_line(spark, tmp_path):

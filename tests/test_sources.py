@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,9 +64,9 @@ RANGE = {"first_day": "2024-10-01", "last_day": "2025-05-31"}
 FEEDS = ["rail", "bus {x}+1", "tram"]
 
 
-@pytest.mark.parametrize("small_file", [0, 20, 10**6])
-def test_merge_snapshots(spark, rows, tree, monkeypatch, small_file):
-    monkeypatch.setattr(snapshots, "SMALL_FILE", small_file)
+@pytest.mark.parametrize("block", [1, 7, 1 << 14])
+def test_merge_snapshots(spark, rows, tree, monkeypatch, block):
+    monkeypatch.setattr(snapshots, "HEADER_BLOCK", block)
     for root in (tree, tree + "/", "file:" + tree):
         merged = merge_snapshots(spark, root, "stops", FEEDS, **RANGE)
         assert merged.columns == [
@@ -102,8 +104,7 @@ def test_discover_lists_the_allowed_files_only(spark, tree):
         discover(spark, tree, ["stops", "trips"], file_glob="*.txt")
 
 
-def test_header_of_a_file_larger_than_a_split(spark, tmp_path, rows, monkeypatch):
-    monkeypatch.setattr(snapshots, "SMALL_FILE", 1000)
+def test_header_of_a_file_larger_than_a_split(spark, tmp_path, rows):
     body = "".join(f"{i},name {i}\n" for i in range(20000))
     for day, header in (("2024-10-01", "stop_id,stop_name\n"), ("2024-10-02", "stop_name,stop_id\n")):
         (tmp_path / "f" / day).mkdir(parents=True)
@@ -123,15 +124,42 @@ def test_header_of_a_file_larger_than_a_split(spark, tmp_path, rows, monkeypatch
         spark.conf.set(key, before)
 
 
-def test_large_file_without_header_is_not_dropped_silently(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(snapshots, "SMALL_FILE", 10)
+@pytest.mark.parametrize("lines", [1, 50, 40_000])
+def test_file_without_header_is_not_dropped_silently(spark, tmp_path, lines):
     folder = tmp_path / "f" / "2024-10-01"
     folder.mkdir(parents=True)
-    (folder / "stops.txt").write_text("\n" * 50)
+    (folder / "stops.txt").write_text("\n" * lines)
     with pytest.raises(ValueError, match="no header"):
         merge_snapshots(spark, str(tmp_path), "stops")
 
 
+@pytest.mark.parametrize("more", [0, 5_000])
+@pytest.mark.parametrize("block", [3, 1 << 14])
+def test_headers_do_not_depend_on_the_size_of_a_file(spark, rows, tmp_path, monkeypatch, more, block):
+    """Tab-only, blank, BOM, CRLF and CR first lines, and a header longer than a block."""
+    monkeypatch.setattr(snapshots, "HEADER_BLOCK", block)
+    wide = ",".join(f"c{i:04}" for i in range(400))
+    heads = ["\t\nstop_id,stop_lat\n", "\n \n\r\nstop_id,stop_lat\r\n", "\ufeffstop_id,stop_lat\n", "\rstop_id,stop_lat\r", f"stop_id,stop_lat,{wide}\n"]
+    body = "".join(f"{i},{i + 0.5}\n" for i in range(2 + more))
+    for k, head in enumerate(heads):
+        folder = tmp_path / f"f{k}" / "2024-10-01"
+        folder.mkdir(parents=True)
+        (folder / "stops.txt").write_bytes((head + body).encode())
+    merged = merge_snapshots(spark, str(tmp_path), "stops")
+    assert len(merged.columns) == 5 + 400
+    counts = merged.groupBy("feed_id").agg(F.count("*"), F.count("stop_lat"), F.max(F.col("stop_id").cast("int")))
+    assert rows(counts) == [(f"f{k}", 2 + more, 2 + more, 1 + more) for k in range(len(heads))]
+
+
+def test_header_step_reads_blocks_not_files(spark, tmp_path):
+    """A file of a tebibyte, all of it but the header a hole: reading it whole would never end."""
+    path = tmp_path / "big.txt"
+    path.write_text("stop_id,stop_lat\n")
+    os.truncate(path, 1 << 40)
+    files = spark.createDataFrame([(f"file:{path}",), (str(path),)], "path string")
+    assert {r["header"] for r in snapshots.with_headers(files).collect()} == {"stop_id,stop_lat"}
+
+
 def test_plain_paths_are_not_decoded_per_row(spark, tmp_path):
     for feed in ("a", "b"):
         folder = tmp_path / feed / "date=2024-10-01"
@@ -223,26 +251,31 @@ def test_csv_reading(spark, rows, tmp_path):
 
 def test_csv_writing(spark, tmp_path):
     df = spark.range(100).repartition(4)
-    one, many, large = (str(tmp_path / n) for n in ("one", "many", "large"))
-    assert write_csv(df, one, one_file=True)
-    assert not write_csv(df, many)
-    assert not write_csv(df, large, one_file=True, one_file_rows=99)
-    files = {p: len(list((tmp_path / p).glob("part-*.csv"))) for p in ("one", "many", "large")}
-    assert files == {"one": 1, "many": 4, "large": 4}
-    for path in (one, many, large):
+    one, many = (str(tmp_path / n) for n in ("one", "many"))
+    write_csv(df, one, one_file=True)
+    write_csv(df, many)
+    files = {p: len(list((tmp_path / p).glob("part-*.csv"))) for p in ("one", "many")}
+    assert files == {"one": 1, "many": 4}
+    for path in (one, many):
         assert read_csv_table(spark, path).count() == 100
 
 
-def test_table_sink(spark, tmp_path, capsys):
-    df = spark.createDataFrame([("a", 1)], "feed_id string, n int")
+def test_reports_are_published_whole(spark, tmp_path, capsys):
+    df = spark.range(50).selectExpr("concat('a', id) AS feed_id", "nullif(id, 3) AS n")
     assert not save_table_if_db(df, "no_such_db", "t")
-    assert not publish(df, "no_such_db", "t")
-    assert "feed_id" in capsys.readouterr().out
+    with pytest.raises(ValueError, match="no_such_db"):
+        publish(df, "t", "no_such_db")
+    assert capsys.readouterr().out == ""
+    publish(df, "t")
+    printed = capsys.readouterr().out.splitlines()
+    assert printed[0] == "feed_id\tn" and len(printed) == 51 and "a3\t" in printed
+    publish(df, "t", "no_such_db", str(tmp_path / "out"))
+    assert read_csv_table(spark, str(tmp_path / "out")).count() == 50
     spark.sql(f"CREATE DATABASE loom_test LOCATION '{tmp_path / 'db'}'")
     try:
-        assert publish(df, "loom_test", "t")
-        assert publish(df.unionByName(df), "loom_test", "t")
-        assert spark.table("loom_test.t").count() == 2
+        publish(df, "t", "loom_test")
+        assert publish(df.unionByName(df), "t", "loom_test").count() == 100
+        assert spark.table("loom_test.t").count() == 100
         assert capsys.readouterr().out == ""
     finally:
         spark.sql("DROP DATABASE loom_test CASCADE")
