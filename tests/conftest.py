@@ -9,8 +9,11 @@ from checks.compare import session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return session(cores="4", partitions=4)
+def spark(tmp_path_factory):
+    spark = session(cores="4", partitions=4)
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        spark.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
+    return spark
 
 
 @pytest.fixture
