@@ -37,7 +37,7 @@ def plain(text):
             dup, dup_chars = dup + 1, dup_chars + sum(map(len, re.findall(r"[^\x20\x09-\x0D]+", line)))
         seen.add(line)
     kept = not failed and dup_chars <= 0.30 * chars
-    for n, most in {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}.items():
+    for n, most in {3: 0.60, 4: 0.50, 5: 0.40, 6: 0.40, 7: 0.40, 8: 0.36, 9: 0.36, 10: 0.36}.items():
         kept = kept and sum(len(words[i]) for i in covered(words, n)) <= most * chars
     return (len(words), chars, sum(c in "#*$%&|<>" for c in text), dup, repeat, failed, kept)
 
@@ -75,5 +75,17 @@ def test_filter_keeps_whole_rows(docs):
     assert {r["quality"] for r in kept.collect()} == {"q"}
 
 
+def test_verdict_goes_beyond_the_base_rules(docs):
+    """A short line over and over, too short for windows of 8; and a header that comes twice."""
+    words = [f"word{i}" for i in range(80)]
+    looped = " ".join(words[:40]) + "".join(f"\nthe same five words here x{i}" for i in range(12))
+    stuttering = " ".join(w for w in words[:20] for _ in range(4))
+    framed = "\n".join([" ".join(words[:10]), " ".join(words[10:60]), " ".join(words[:10])])
+    rows = {r["doc_id"]: r["quality"] for r in quality.repetition(docs([looped, framed, stuttering])).collect()}
+    assert not rows[2]["base_failed"] and not rows[2]["kept"]
+    assert not rows[0]["base_failed"] and not rows[0]["kept"]
+    assert not rows[1]["base_failed"] and rows[1]["kept"]
+
+
 def test_empty_table(docs):
     assert quality.keep_clean(docs([])).collect() == []
