@@ -41,7 +41,7 @@ LENGTH = 400
 ANCHOR = 64
 PERIOD = 64
 BUCKET_RUNS = 2048
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 #: Suffixes looked at together; texts longer than that are worked off in pieces.
 _PIECE = 1 << 17
 _LOCAL = np.uint64((1 << 18) - 1)
@@ -57,7 +57,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    return np.multiply.accumulate(np.concatenate(([1], np.full(n - 1, base, dtype=np.uint64))).astype(np.uint64))
+    factors = np.full(n, base, dtype=np.uint64)
+    factors[0] = 1
+    return np.multiply.accumulate(factors)
 
 
 class Windows:
@@ -273,16 +275,26 @@ def _run_texts(packed: DataFrame, runs: DataFrame, length: int) -> DataFrame:
     both = joined.select(*_KEYS, "n_bytes", "data", "runs")
 
     def cut(batches):
+        names = [*_KEYS, "start", "size", "ahead", "bucket", "rivals", "whole", "text"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+        out, weight = [], 0
+
+        def flush() -> pa.RecordBatch:
+            columns = list(zip(*out, strict=True)) or [()] * len(names)
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
         for batch in batches:
-            out = []
             for i, h, n, data, runs in zip(*(batch.column(c) for c in (*_KEYS, "n_bytes", "data", "runs")), strict=True):
                 text = _raw(data.as_py(), n.as_py())
                 for r in runs.as_py():
-                    out.append((i.as_py(), h.as_py(), r["start"], r["size"], r["ahead"], r["bucket"], r["rivals"], r["whole"], text[r["start"] : r["start"] + r["size"] + length - 1]))
-            columns = list(zip(*out, strict=True)) or [()] * 9
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*_KEYS, "start", "size", "ahead", "bucket", "rivals", "whole", "text"])
+                    part = text[r["start"] : r["start"] + r["size"] + length - 1]
+                    out.append((i.as_py(), h.as_py(), r["start"], r["size"], r["ahead"], r["bucket"], r["rivals"], r["whole"], part))
+                    weight += len(part)
+                if weight > BATCH_BYTES:
+                    yield flush()
+                    weight = 0
+        yield flush()
 
     return both.mapInArrow(cut, "id_hash long, text_hash long, start long, size int, ahead int, bucket long, rivals long, whole boolean, text binary")
 
@@ -346,11 +358,13 @@ def _with_spans(docs: DataFrame, side: list[str], length: int) -> DataFrame:
     small_batches(docs.sparkSession)
     found = keep(_matters(keep(find_runs(docs, length), "runs")), "repeats")
     packed = _packed(docs, side)
-    texts = _run_texts(packed, found.where("rivals IS NOT NULL"), length)
-    few = _sorted_buckets(texts.where(F.col("rivals") <= BUCKET_RUNS), length)
-    many = _counted_buckets(texts.where(F.col("rivals") > BUCKET_RUNS), length)
+    texts = _run_texts(packed, found.where("rivals IS NOT NULL"), length)  # computed twice if there are large buckets
+    spans = _sorted_buckets(texts.where(F.col("rivals") <= BUCKET_RUNS), length)
+    large = F.col("rivals") > BUCKET_RUNS
+    if not found.where(large).isEmpty():
+        spans = spans.unionByName(_counted_buckets(texts.where(large), length))
     whole = found.where("whole").select(*_KEYS, "start", F.col("size").cast("long").alias("size"))
-    spans = whole.unionByName(few).unionByName(many).groupBy(*_KEYS).agg(F.collect_set(F.struct("start", "size")).alias("spans"))
+    spans = whole.unionByName(spans).groupBy(*_KEYS).agg(F.collect_set(F.struct("start", "size")).alias("spans"))
     return packed.join(spans, _KEYS, "left").select("side", "n_bytes", "data", "spans")
 
 

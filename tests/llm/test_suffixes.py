@@ -73,6 +73,15 @@ def test_runs_cover_every_suffix_once():
     data = bytes(rng.integers(97, 100, size=5000, dtype=np.uint8))
     runs = suffixes.text_runs(data, 400, suffixes.Windows(suffixes.ANCHOR, suffixes._PIECE + 400))
     assert [k for s, n, *_ in runs for k in range(s, s + n)] == list(range(5000 - 399))
+    assert len(runs) < 60 and len({b for *_, b, _ in runs}) == len({s + a for s, _, a, *_ in runs})
+
+
+def test_window_hashes_depend_on_content_alone():
+    rng = np.random.default_rng(3)
+    part = rng.integers(0, 256, size=300, dtype=np.uint8)
+    data = np.concatenate((rng.integers(0, 256, size=77, dtype=np.uint8), part, part))
+    hashes = suffixes.Windows(64, 1000).hashes(data)
+    assert (hashes[77 : 77 + 237] == hashes[377 : 377 + 237]).all() and len(set(hashes.tolist())) == len(hashes) - 237
 
 
 def test_strip_keeps_columns_and_whole_characters(docs):
