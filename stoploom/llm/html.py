@@ -54,10 +54,11 @@ RAW = ("script", "style", "noscript", "template", "svg", "math", "iframe", "obje
 OTHER_TAGS = frozenset("head title nav footer aside form menu dialog button select datalist fieldset".split())
 OTHER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
 OTHER_NAMES = frozenset(
-    "ad ads advert advertisement adverts advertising alert alerts banner breadcrumb breadcrumbs comment comments consent cookie cookies "
-    "copyright disqus footer gdpr login masthead menu menus modal nav navbar navigation newsletter notice notices notification "
-    "pager pagination popup promo promoted promotion related replies reply respond search share sharing sidebar sidebars signup "
-    "social sponsor sponsored subscribe toolbar topbar widget widgets".split()
+    "ad adbox ads adsbygoogle adslot advert advertisement adverts advertising alert alerts banner breadcrumb breadcrumbs comment "
+    "commentarea commentlist comments consent cookie cookiebanner cookiebar cookies copyright disclaimer disqus footer gdpr login "
+    "mainmenu masthead menu menus modal nav navbar navigation navmenu newsletter notice notices notification pager pagination popup "
+    "promo promoted promotion related replies reply respond search share sharing sidebar sidebars sidenav signup social sponsor "
+    "sponsored submenu subscribe toolbar topbar topnav widget widgets".split()
 )
 HEADER_NAMES = frozenset("header head".split())
 ARTICLE_NAMES = frozenset("article content entry main page post story text body wrapper container".split())
@@ -69,8 +70,8 @@ _MARKUP = re.compile(
     r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*|[^>]*)(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
-_PARTS = re.compile(r"[-_\s]+|(?<=[a-z])(?=[A-Z])")
+_ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|style|aria-hidden|aria-label)(?![\w-])(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
+_PARTS = re.compile(r"[-_\s\d]+|(?<=[a-z])(?=[A-Z])")
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -87,7 +88,7 @@ def is_other(tag: str, named: dict[str, str], in_article: bool) -> bool:
         return True
     if "display:none" in named.get("style", "").replace(" ", "").lower():
         return True
-    words = f"{named.get('class', '')} {named.get('id', '')}".split()
+    words = " ".join(named.get(a, "") for a in ("class", "id", "aria-label")).split()
     whole = {w.lower() for w in words}
     other = OTHER_NAMES if in_article else OTHER_NAMES | HEADER_NAMES
     if whole & other:

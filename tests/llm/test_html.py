@@ -61,6 +61,8 @@ def test_references_white_space_and_broken_markup():
     assert read("<article><p>cut off &am") == "cut off &am"
     assert read("<article><p>open <span class=ad>no</span> end</p><textarea>no") == "open end"
     assert read("<article><p>1 < 2 and 3 > 2</p></article>") == "1 < 2 and 3 > 2"
+    assert read("<article><p>t</p><ol class=commentlist><li>no</ol><div id=ad2>no</div><section aria-label='Reader comments'>no</section></article>") == "t"
+    assert read("<article><p data-id='nav' data-class='ad'>t</p></article>") == "t"
     assert read("") == "" and read("plain words") == "plain words" and read("<p>a<p>b") == "a\nb"
     assert read("<head><title>t</title><body><p>x</p>") == "x"
     assert read("<article>" + "<p>" * 50_000 + "deep" + "<div>" * 2_000 + "er</article>") == "deep\ner"
