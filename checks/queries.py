@@ -356,15 +356,19 @@ def publish_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("feed_id", F.col("types").cast("bigint").alias("types"), F.lit(files).alias("files"))
 
 
-def _write_table_files(spark: SparkSession, rows: DataFrame, root: str, name: str) -> None:
-    """``<root>/<feed>/<date>/<name>.txt``, one for each feed and date of ``rows``."""
-    staged = f"{root}-{name}-{uuid.uuid4().hex}"
+def _write_table_files(rows: DataFrame, root: str, name: str, copies: tuple[str, ...] = ()) -> None:
+    """``<root>/<feed>/<date>/<name>.txt``, one for each feed and date of ``rows``, and copies of each
+    below its feed."""
+    spark, staged = rows.sparkSession, f"{root}-{name}-{uuid.uuid4().hex}"
     rows.repartition(4, "feed", "subdir").write.partitionBy("feed", "subdir").option("header", True).csv(staged)
-    hadoop = spark._jvm.org.apache.hadoop.fs
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
     pattern = hadoop.Path(f"{staged}/feed=*/subdir=*/part-*.csv")
-    store = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    store = pattern.getFileSystem(conf)
     for status in store.globStatus(pattern):
         feed, day = (p.partition("=")[2] for p in status.getPath().getParent().toString().rsplit("/", 2)[1:])
+        for copy in copies:
+            store.mkdirs(hadoop.Path(f"{root}/{feed}/{copy}").getParent())
+            hadoop.FileUtil.copy(store, status.getPath(), store, hadoop.Path(f"{root}/{feed}/{copy}"), False, conf)
         store.mkdirs(hadoop.Path(f"{root}/{feed}/{day}"))
         store.rename(status.getPath(), hadoop.Path(f"{root}/{feed}/{day}/{name}.txt"))
 
@@ -382,10 +386,9 @@ def merge_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     stops = customer.selectExpr(place.format(c="c_nationkey"), day.format(c="c_nationkey"), "c_custkey AS stop_id", "c_name AS stop_name")
     first = "subdir = '2024-10-01'"
     for name, rows, key, later in (("routes", routes, "route_id", ["route_name", "color", "route_id"]), ("stops", stops, "stop_id", ["stop_name", "stop_id"])):
-        _write_table_files(spark, rows.where(first).select("feed", "subdir", key), root, name)
-        _write_table_files(spark, rows.where(f"NOT {first}").select("feed", "subdir", *later), root, name)
-    _write_table_files(spark, stops.where(first), root, "notes")
-    _write_table_files(spark, stops.where(first).withColumn("subdir", F.lit("archive")), root, "stops")
+        ignored = (f"2024-10-01/{name}-notes.txt", f"archive/{name}.txt")
+        _write_table_files(rows.where(first).select("feed", "subdir", key), root, name, ignored)
+        _write_table_files(rows.where(f"NOT {first}").select("feed", "subdir", *later), root, name)
     plans.merge_schedule(spark, root, target, ["routes", "stops", "trips"], ["north", "south", "west"], "2024-10-01", "2024-10-04")
     parts = []
     for kind, key, text in (("routes", "route_id", "route_name"), ("stops", "stop_id", "stop_name")):
