@@ -71,11 +71,14 @@ _MARKUP = re.compile(
     re.DOTALL | re.IGNORECASE,
 )
 _ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|style|aria-hidden|aria-label)(?![\w-])(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
+_NAMED = re.compile(r"class|id|role|style|aria-", re.IGNORECASE).search  # "id" is in "hidden"
 _PARTS = re.compile(r"[-_\s\d]+|(?<=[a-z])(?=[A-Z])")
 
 
 def _attributes(raw: str) -> dict[str, str]:
-    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(raw)} if "=" in raw or "hidden" in raw else {}
+    if not raw or not _NAMED(raw):
+        return {}
+    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(raw)}
 
 
 def is_other(tag: str, named: dict[str, str], in_article: bool) -> bool:
@@ -84,6 +87,8 @@ def is_other(tag: str, named: dict[str, str], in_article: bool) -> bool:
         return False
     if tag in OTHER_TAGS or tag == "header" and not in_article:
         return True
+    if not named:
+        return False
     if named.get("role", "").lower() in OTHER_ROLES or "hidden" in named or named.get("aria-hidden") == "true":
         return True
     if "display:none" in named.get("style", "").replace(" ", "").lower():
@@ -111,8 +116,10 @@ class Block:
         self.text, self.path, self.article, self.tokens = text, path, article, tokens
 
 
-def parse(page: str) -> tuple[list[Block], list[int]]:
-    """The blocks that are not something else by name, and all tokens of the page outside of articles."""
+def parse(page: str, articles: bool = True, others: bool = True) -> tuple[list[Block], list[int]]:
+    """The blocks that are not something else by name, and all tokens of the page outside of articles.
+
+    ``articles``, ``others``: whether what stands inside, or outside, of articles is wanted."""
     blocks: list[Block] = []
     tokens: list[int] = []
     stack: list[tuple[str, bool, bool, str]] = []  # tag, other, article, label
@@ -120,6 +127,12 @@ def parse(page: str) -> tuple[list[Block], list[int]]:
     digest = xxhash.xxh64_intdigest
 
     def flush() -> None:
+        if not parts:
+            return
+        article = bool(stack) and stack[-1][2]
+        if not (articles if article else others):
+            parts.clear()
+            return
         own = "".join(t for t, other in parts if not other)
         text = " ".join(references.unescape(own).split())
         aside = not text
@@ -128,7 +141,6 @@ def parse(page: str) -> tuple[list[Block], list[int]]:
         parts.clear()
         if not text:
             return
-        article = bool(stack) and stack[-1][2]
         path = tuple(s[3] for s in stack if s[0] in CONTAINERS)
         if not article:
             tokens.append(digest("/".join(path) + "\0" + text))
@@ -176,7 +188,7 @@ def parse(page: str) -> tuple[list[Block], list[int]]:
             other, article = other and not wraps, True
         label = tag + "".join(f".{w}" for w in sorted(named.get("class", "").split())[:4])
         stack.append((tag, other or out, article, label))
-        if not article and tag in CONTAINERS:
+        if others and not article and tag in CONTAINERS:
             tokens.append(digest("/".join(s[3] for s in stack if s[0] in CONTAINERS)))
     if at < len(page):
         hold(page[at:])
@@ -200,7 +212,7 @@ def _path_token(path: tuple[str, ...]) -> int:
 
 def page_tokens(page: str) -> tuple[dict[int, tuple[int, int]], dict[int, tuple[int, int]]]:
     """{token: (count, first place)} and, of blocks outside articles, {path: (depth, characters)}."""
-    blocks, tokens = parse(page)
+    blocks, tokens = parse(page, articles=False)
     seen: dict[int, tuple[int, int]] = {}
     for place, token in enumerate(tokens):
         n, first = seen.get(token, (0, place))
@@ -275,9 +287,9 @@ def template_tokens(tokens: list[int], classes: list[dict] | None) -> set[int]:
 
 
 def main_text(page: str, classes: list[dict] | None, main: int | None) -> str:
-    blocks, tokens = parse(page)
-    chosen = [b for b in blocks if b.article]
+    chosen, _ = parse(page, others=False)
     if not chosen:
+        blocks, tokens = parse(page)
         fixed = template_tokens(tokens, classes)
         slots = [b for b in blocks if _signed(tokens[b.tokens - 1]) not in fixed]
         inside = [b for b in slots if main is not None and any(_path_token(b.path[:k]) == main for k in range(len(b.path) + 1))]
