@@ -1,18 +1,20 @@
 """BPE encoding and decoding through a table of distinct words.
 
-Texts are split into pre-tokens ("words") as the tokenizer file says. Every distinct word of the
-corpus is encoded once; the ids go back to the texts by position. Words above a count that leaves
-at most ``frequent`` of them travel as a broadcast table, a bound that the corpus can't move; every
-other occurrence is joined by word and returns to its text under its slot number. Decoding joins
-each id with its piece in the vocabulary.
+Texts are split into pre-tokens ("words") as the tokenizer file says. A task cuts its texts into
+blocks of at most about ``BLOCK_WORDS`` distinct words; a text becomes the numbers of its words within its
+block. The distinct words of all blocks are sorted by word, each is encoded once, and its ids go
+back to every block that holds it, where they are put at their positions. Decoding joins each id
+with its piece in the vocabulary.
 
-A text travels as its id sequence, compressed, with slots where rare words belong, through one
-exchange that both the questions (rare words) and their answers use. Rows are told apart by hashes
-of doc_id and text; rows equal in both are equal in ids, too.
+A frequent word is one row a block, however often it occurs, so no word is a hot key, and nothing is
+broadcast but the tokenizer file. Texts and the words of their blocks cross one exchange, by block,
+that both the questions (words) and their answers (ids) use.
 
 Defined cases: a null or blank text has no tokens and decodes to an empty text; null or repeated
 doc_ids are kept row by row; strings of special tokens inside a text are those tokens, as in the
-library; a table without rows gives none. Other columns are ignored.
+library; a table without rows gives none. Other columns are ignored. Word numbers follow the order
+of a task's rows, so ``docs`` should come from files, as all stages here do, and not straight from a
+shuffle, whose order may change when a lost task is run again.
 """
 
 from __future__ import annotations
@@ -21,24 +23,25 @@ import hashlib
 import json
 import re
 import unicodedata
-from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tokenizers
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from .common import keep, same, small_batches
-
-#: At most so many words are broadcast; the rest are joined.
-FREQUENT = 1 << 19
-#: Words counted in a task before the counts are passed on.
-_COUNTED = 1 << 20
-#: Set in a sequence where a rare word's slot stands for its ids.
-_SLOT = 1 << 31
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+
+from .common import small_batches
+
+#: A block ends when it has so many distinct words or characters.
+BLOCK_WORDS = 1 << 19
+BLOCK_CHARS = 1 << 26
+#: Words of a block in one row; chunks of text remembered with their words.
+_ROW_WORDS = 1 << 16
+_REMEMBERED = 1 << 17
+#: Encoded words that a task packs together, by block.
+_PACKED = 1 << 18
 #: Latin letters up to here lower-case and compose alike everywhere; other texts take the library's path.
 _PLAIN = re.compile("[^\x00-\x1b\x20-\x84\x86-įı-ɏ]")
 
@@ -59,20 +62,40 @@ class Splitter:
         self.split = tokenizers.pre_tokenizers.Split(tokenizers.Regex(pattern), "removed", invert=True)
         self.bytes = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.special = {t["content"]: t["id"] for t in found["added_tokens"]}
+        self.known: dict[str, list[str]] = {}
         self.special_at = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
 
     def words(self, text: str | None) -> list[str]:
+        chunks = self.chunks(text)
+        if chunks is None:
+            return self.rare_words(text)
+        out: list[str] = []
+        for c in chunks:
+            out += self.chunk_words(c)
+        return out
+
+    def chunks(self, text: str | None) -> list[str] | None:
+        """Lower-case runs without white space, which words never cross; None if ``text`` is not plain Latin."""
         if not text:
             return []
-        if "<|" in text:
-            parts = self.special_at.split(text)
-            return [w for i, p in enumerate(parts) for w in ([p] if i % 2 else self._words(p))]
-        return self._words(text)
-
-    def _words(self, text: str) -> list[str]:
-        if not _PLAIN.search(text) and (text.isascii() or unicodedata.is_normalized("NFC", text)):
-            return self.plain_words(text.lower())
-        return [w for w, _ in self.split.pre_tokenize_str(self.normalizer.normalize_str(text))]
+        if "<|" in text or _PLAIN.search(text) or not (text.isascii() or unicodedata.is_normalized("NFC", text)):
+            return None
+        return text.lower().split()
+
+    def chunk_words(self, chunk: str) -> list[str]:
+        found = self.known.get(chunk)
+        if found is None:
+            if len(self.known) >= _REMEMBERED:
+                self.known.clear()
+            found = self.known[chunk] = self.plain_words(chunk)
+        return found
+
+    def rare_words(self, text: str) -> list[str]:
+        """The library's own path, with special tokens as words of their own."""
+        out = []
+        for i, part in enumerate(self.special_at.split(text)):
+            out += [part] if i % 2 else [w for w, _ in self.split.pre_tokenize_str(self.normalizer.normalize_str(part))]
+        return out
 
     def ids(self, word: str) -> list[int]:
         if word in self.special:
@@ -94,113 +117,148 @@ def load(path: str) -> str:
         return file.read()
 
 
-def _packed(ids: np.ndarray) -> bytes:
-    """Low and high halves apart, compressed: the high halves are mostly zero."""
-    halves = ids.astype("<u4").view("<u2").reshape(-1, 2).T.copy()
-    return pa.compress(halves.tobytes(), codec="zstd", asbytes=True) if len(ids) else b""
+def _packed(numbers: np.ndarray) -> bytes:
+    """32-bit numbers compressed byte by byte: the high bytes are mostly zero."""
+    planes = np.ascontiguousarray(numbers, dtype="<u4").view(np.uint8).reshape(-1, 4).T.copy()
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True) if len(numbers) else b""
 
 
 def _unpacked(data: bytes, n: int) -> np.ndarray:
     if not n:
         return np.empty(0, dtype=np.uint32)
-    halves = np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd", asbytes=True), dtype="<u2")
-    return halves[:n].astype(np.uint32) | (halves[n:].astype(np.uint32) << 16)
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd", asbytes=True), dtype=np.uint8)
+    return planes.reshape(4, n).T.copy().view("<u4").ravel()
 
 
-def distinct_words(docs: DataFrame, spec: str) -> DataFrame:
-    """(word, n) of the corpus; counts are summed in each task before they are shuffled."""
+def _blocks(docs: DataFrame, spec: str) -> DataFrame:
+    """Rows of two kinds, by block: for each text ``n``, its number of words, and ``sequence``, their numbers; and
+    rows with ``m`` of the block's ``words``, in order, one a line, with their numbers as ``sequence``.
 
-    def count(batches):
-        splitter, seen = Splitter(spec), Counter()
+    Words never hold white space. In order they compress to a third, here and in the exchange by word."""
+    slim = docs.select("doc_id", "text")
+    schema = StructType([StructField("block", LongType()), slim.schema["doc_id"], StructField("n", LongType())])
+    schema = schema.add("sequence", BinaryType()).add("m", LongType()).add("size", LongType()).add("words", BinaryType())
 
-        def flush() -> pa.RecordBatch:
-            words = sorted(seen)  # neighbours share their beginnings, which compresses well
-            out = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([seen[w] for w in words], pa.int64())], names=["word", "n"])
-            seen.clear()
-            return out
+    def run(batches):
+        from pyspark import TaskContext
+
+        splitter, numbers, chars = Splitter(spec), {}, 0
+        block = TaskContext.get().partitionId() << 32
+
+        def rows(ids: pa.Array, **made: list) -> pa.RecordBatch:
+            kinds = {"n": pa.int64(), "sequence": pa.binary(), "m": pa.int64(), "size": pa.int64(), "words": pa.binary()}
+            columns = [pa.array(made.get(c, [None] * len(ids)), k) for c, k in kinds.items()]
+            return pa.RecordBatch.from_arrays([pa.array([block] * len(ids), pa.int64()), ids, *columns], names=schema.names)
+
+        def words_of_block(kind: pa.DataType) -> pa.RecordBatch:
+            listed = sorted(numbers)
+            parts = [listed[k : k + _ROW_WORDS] for k in range(0, len(listed), _ROW_WORDS)]
+            lines = ["\n".join(p).encode() for p in parts]
+            packed = [_packed(np.fromiter(map(numbers.__getitem__, p), dtype=np.uint32, count=len(p))) for p in parts]
+            squeezed = [pa.compress(t, codec="zstd", asbytes=True) for t in lines]
+            return rows(pa.nulls(len(parts), kind), sequence=packed, m=list(map(len, parts)), size=list(map(len, lines)), words=squeezed)
 
         for batch in batches:
-            for text in batch.column("text"):
-                seen.update(splitter.words(text.as_py()))
-                if len(seen) > _COUNTED:
-                    yield flush()
-        yield flush()
+            ids = batch.column("doc_id")
+            at, sizes, sequences = 0, [], []
+            for k, text in enumerate(batch.column("text")):
+                text = text.as_py()
+                words = splitter.words(text)
+                sequences.append(_packed(np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), dtype=np.uint32, count=len(words))))
+                sizes.append(len(words))
+                chars += len(text or "")
+                if len(numbers) >= BLOCK_WORDS or chars >= BLOCK_CHARS:
+                    yield rows(ids.slice(at, k + 1 - at), n=sizes, sequence=sequences)
+                    yield words_of_block(ids.type)
+                    at, sizes, sequences, numbers, chars = k + 1, [], [], {}, 0
+                    block += 1
+            yield rows(ids.slice(at), n=sizes, sequence=sequences)
+        if numbers:
+            yield words_of_block(ids.type)
+
+    # one exchange for texts and words: both readers take all its columns
+    return slim.mapInArrow(run, schema).repartition("block")
+
+
+def _block_words(blocks: DataFrame) -> DataFrame:
+    """(block, number, word) of every distinct word of every block."""
 
-    return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    def run(batches):
+        for batch in batches:
+            for row in batch.filter(pc.is_valid(batch.column("m"))).to_pylist():
+                words = pa.decompress(row["words"], decompressed_size=row["size"], codec="zstd", asbytes=True).decode().split("\n")
+                numbers = _unpacked(row["sequence"], row["m"]).astype(np.int32)
+                columns = [pa.array([row["block"]] * len(words), pa.int64()), pa.array(numbers), pa.array(words, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "number", "word"])
+
+    return blocks.mapInArrow(run, "block long, number int, word string")
 
 
 def encoded_words(words: DataFrame, spec: str) -> DataFrame:
-    """(word, n, ids): each distinct word encoded once."""
+    """(block, n, numbers, sizes, ids) from (block, number, word): each distinct word encoded once, and its ids
+    packed with those of other words of the block."""
 
     def encode(batches):
         splitter = Splitter(spec)
+        held: dict[int, tuple[list, list, list]] = {}
+        count, last, ids = 0, None, []
+
+        def flush() -> pa.RecordBatch:
+            blocks = list(held)
+            packed = [[_packed(np.array(held[b][k], dtype=np.int64).astype(np.uint32)) for b in blocks] for k in range(3)]
+            columns = [pa.array(blocks, pa.int64()), pa.array([len(held[b][0]) for b in blocks], pa.int64()), pa.array([len(held[b][2]) for b in blocks], pa.int64())]
+            held.clear()
+            return pa.RecordBatch.from_arrays([*columns, *(pa.array(p, pa.binary()) for p in packed)], names=["block", "n", "n_ids", "numbers", "sizes", "ids"])
+
         for batch in batches:
-            ids = [splitter.ids(w) for w in batch.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(ids, pa.list_(pa.int32()))], names=["word", "n", "ids"])
+            for block, number, word in zip(*(batch.column(c).to_pylist() for c in ("block", "number", "word")), strict=True):
+                if word != last:  # words come in order
+                    last, ids = word, splitter.ids(word)
+                if block not in held:
+                    held[block] = ([], [], [])
+                numbers, sizes, flat = held[block]
+                numbers.append(number)
+                sizes.append(len(ids))
+                flat += ids
+                count += 1
+            if count >= _PACKED:
+                yield flush()
+                count = 0
+        yield flush()
 
-    return words.mapInArrow(encode, "word string, n long, ids array<int>")
+    in_order = words.repartition("word").sortWithinPartitions("word")
+    return in_order.mapInArrow(encode, "block long, n long, n_ids long, numbers binary, sizes binary, ids binary")
 
 
-def frequent_from(words: DataFrame, most: int) -> int:
-    """The least count that at most ``most`` words reach; the driver gets one row for each power of 2^(1/8)."""
-    step = F.floor(F.log2("n") * 8).cast("int").alias("step")
-    rows = sorted(words.groupBy(step).agg(F.count("*").alias("words"), F.min("n").alias("least")).collect(), reverse=True)
-    total, least = 0, 1 << 62
-    for row in rows:
-        total += row["words"]
-        if total > most:
-            break
-        least = row["least"]
-    return least
+class WordIds:
+    """The ids of a block's words by number."""
 
+    def __init__(self, packed: pa.Table):
+        rows = packed.to_pylist()
+        sizes = [_unpacked(r["sizes"], r["n"]).astype(np.int64) for r in rows]
+        numbers = [_unpacked(r["numbers"], r["n"]).astype(np.int64) for r in rows]
+        flat = [_unpacked(r["ids"], r["n_ids"]) for r in rows]
+        whole = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, dtype=kind)
+        self.flat, listed, number = whole(flat, np.uint32), whole(sizes, np.int64), whole(numbers, np.int64)
+        self.begins, self.sizes = np.empty(len(number), dtype=np.int64), np.empty(len(number), dtype=np.int64)
+        self.begins[number], self.sizes[number] = np.cumsum(listed) - listed, listed
 
-def _sequences(docs: DataFrame, spec: str, known: dict[str, bytes]) -> DataFrame:
-    """(doc_id, id_hash, text_hash, n, sequence, rare): ids with slots, and the rare words by slot."""
+    def of(self, sequence: bytes, n: int) -> np.ndarray:
+        """The ids of a text, each word's at its position."""
+        words = _unpacked(sequence, n)
+        sizes = self.sizes[words]
+        ends = np.cumsum(sizes)
+        return self.flat[np.arange(ends[-1] if n else 0) + np.repeat(self.begins[words] - (ends - sizes), sizes)]
 
-    def run(batches):
-        splitter = Splitter(spec)
-        find = known.get
-        for batch in batches:
-            sizes, sequences, rares = [], [], []
-            for text in batch.column("text"):
-                words = splitter.words(text.as_py())
-                got = [find(w) for w in words]
-                rare: dict[str, int] = {}
-                if None in got:
-                    got = [g if g is not None else (rare.setdefault(w, len(rare)) | _SLOT).to_bytes(4, "little") for g, w in zip(got, words, strict=True)]
-                ids = np.frombuffer(b"".join(got), dtype="<u4")
-                sizes.append(len(ids))
-                sequences.append(_packed(ids))
-                rares.append(list(rare))
-            made = [pa.array(sizes, pa.int64()), pa.array(sequences, pa.binary()), pa.array(rares, pa.list_(pa.string()))]
-            keys = ["doc_id", "id_hash", "text_hash"]
-            yield pa.RecordBatch.from_arrays([*map(batch.column, keys), *made], names=[*keys, "n", "sequence", "rare"])
-
-    slim = docs.select("doc_id", F.xxhash64("doc_id").alias("id_hash"), F.xxhash64("text").alias("text_hash"), "text")
-    kind = slim.schema["doc_id"].dataType.simpleString()
-    return slim.mapInArrow(run, f"doc_id {kind}, id_hash long, text_hash long, n long, sequence binary, rare array<string>")
-
-
-def _filled(sequence: bytes, n: int, found: dict[int, list[int]]) -> np.ndarray:
-    ids = _unpacked(sequence, n)
-    slots = np.flatnonzero(ids >= _SLOT)
-    if not len(slots):
-        return ids
-    parts, last = [], 0
-    for at in slots.tolist():
-        parts += [ids[last:at], np.asarray(found[int(ids[at]) - _SLOT], dtype=np.uint32)]
-        last = at + 1
-    return np.concatenate([*parts, ids[last:]])
-
-
-def encode(docs: DataFrame, spec: str, frequent: int = FREQUENT) -> DataFrame:
+
+def encode(docs: DataFrame, spec: str) -> DataFrame:
     """(doc_id, n_tokens, ids): ids as compressed 32-bit numbers, see ``unpack``."""
-    return _finished(docs, spec, frequent, _encoded_rows(None), "n_tokens long, ids binary")
+    return _finished(docs, spec, _encoded_rows(None), "n_tokens long, ids binary")
 
 
-def digests(docs: DataFrame, spec: str, frequent: int = FREQUENT) -> DataFrame:
+def digests(docs: DataFrame, spec: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of the ids and of the text decoded from them."""
-    return _finished(docs, spec, frequent, _encoded_rows(spec), "n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _finished(docs, spec, _encoded_rows(spec), "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _encoded_rows(spec: str | None):
@@ -225,35 +283,25 @@ def unpack(ids: bytes, n_tokens: int) -> list[int]:
     return _unpacked(ids, n_tokens).tolist()
 
 
-def _finished(docs: DataFrame, spec: str, frequent: int, make, columns: str) -> DataFrame:
+def _finished(docs: DataFrame, spec: str, make, columns: str) -> DataFrame:
     small_batches(docs.sparkSession)
-    words = keep(encoded_words(distinct_words(docs, spec), spec), "words")
-    least = frequent_from(words, frequent)
-    rows = words.where(F.col("n") >= least).select("word", "ids").collect()  # at most ``frequent``
-    known = {r["word"]: np.asarray(r["ids"], dtype="<u4").tobytes() for r in rows}
-    split = _sequences(docs, spec, known).repartition("id_hash", "text_hash")
-    # reads all columns, so that its exchange is the one the answers come back to
-    whole = (F.col("n") >= 0) & (F.length("sequence") >= 0) & same(F.col("doc_id"), F.col("doc_id"))
-    asked = split.select("id_hash", "text_hash", F.posexplode(F.when(whole, F.col("rare"))).alias("slot", "word"))
-    others = words.where(F.col("n") < least).select("word", "ids")
-    answers = asked.join(others, "word").groupBy("id_hash", "text_hash").agg(F.collect_list(F.struct("slot", "ids")).alias("found"))
-    joined = split.drop("rare").join(answers, ["id_hash", "text_hash"], "left").select("doc_id", "n", "sequence", "found")
-    kind = joined.schema["doc_id"].dataType.simpleString()
+    blocks = _blocks(docs, spec)
+    answers = encoded_words(_block_words(blocks), spec)
+    doc_type = blocks.schema["doc_id"].dataType.simpleString()
     names = [c.split()[0] for c in columns.split(", ")]
-    types = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
-
-    def run(batches: Iterator[pa.RecordBatch]):
-        row = make()
-        for batch in batches:
-            out = []
-            for n, sequence, found in zip(*(batch.column(c) for c in ("n", "sequence", "found")), strict=True):
-                slots = {x["slot"]: x["ids"] for x in found.as_py() or ()}
-                out.append(row(_filled(sequence.as_py(), n.as_py(), slots)))
-            made = list(zip(*out, strict=True)) or [()] * len(names)
-            arrays = [pa.array(made[i], types[c.split()[1]]) for i, c in enumerate(columns.split(", "))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], names=["doc_id", *names])
-
-    return joined.mapInArrow(run, f"doc_id {kind}, {columns}")
+    types = [{"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}[c.split()[1]] for c in columns.split(", ")]
+
+    def finish(texts: pa.Table, words: pa.Table) -> pa.Table:
+        """One block: at most about ``BLOCK_CHARS`` characters."""
+        texts = texts.filter(pc.is_valid(texts.column("n")))
+        row, ids = make(), WordIds(words)
+        out = [row(ids.of(s.as_py(), n.as_py())) for n, s in zip(texts.column("n"), texts.column("sequence"), strict=True)]
+        made = list(zip(*out, strict=True)) or [()] * len(names)
+        arrays = [pa.array(m, t) for m, t in zip(made, types, strict=True)]
+        return pa.table([texts.column("doc_id"), *arrays], names=["doc_id", *names])
+
+    both = blocks.groupBy("block").cogroup(answers.groupBy("block"))
+    return both.applyInArrow(finish, f"doc_id {doc_type}, {columns}")
 
 
 def decode(encoded: DataFrame, spec: str) -> DataFrame:

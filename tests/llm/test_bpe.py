@@ -43,24 +43,38 @@ def test_digests_equal_the_library(spark, docs, tables, library):
     assert got == {i: plain(library, t) for i, t in enumerate(sample)}
 
 
-@pytest.mark.parametrize("frequent", [0, 1, 40, 10**6])
-def test_rare_and_frequent_words_give_the_same_ids(docs, library, frequent):
+@pytest.mark.parametrize("size", [1, 40, 1 << 18])
+def test_blocks_of_any_size_give_the_same_ids(docs, library, monkeypatch, size):
+    monkeypatch.setattr(bpe, "BLOCK_WORDS", size)
+    monkeypatch.setattr(bpe, "_ROW_WORDS", 7)
+    monkeypatch.setattr(bpe, "_PACKED", 5)
     sample = texts(9)
-    rows = bpe.encode(docs(sample), SPEC, frequent).collect()
+    rows = bpe.encode(docs(sample).repartition(3), SPEC).collect()
     got = {r["doc_id"]: bpe.unpack(r["ids"], r["n_tokens"]) for r in rows}
     assert got == {i: library.encode(t or "", add_special_tokens=False).ids for i, t in enumerate(sample)}
 
 
+def test_texts_cross_one_exchange(spark, docs):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = bpe.digests(docs(texts(11)), SPEC)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ReusedExchange" in plan
+
+
 def test_decode_of_encoded(docs, library):
     sample = texts(10)
-    got = {r["doc_id"]: r["text"] for r in bpe.decode(bpe.encode(docs(sample), SPEC, 50), SPEC).collect()}
+    got = {r["doc_id"]: r["text"] for r in bpe.decode(bpe.encode(docs(sample), SPEC), SPEC).collect()}
     assert got == {i: library.decode(library.encode(t or "", add_special_tokens=False).ids, skip_special_tokens=False) for i, t in enumerate(sample)}
 
 
 def test_repeated_rows_null_ids_and_other_columns(docs, library):
     rows = [(4, "zebra quilt", "a"), (4, "zebra quilt", "a"), (None, "quilt of zebras", "b"), (4, "another text", "c"), (None, None, "d")]
     df = docs(rows).withColumn("word", F.lit("w")).withColumn("n", F.lit(1)).withColumn("ids", F.lit("i")).withColumn("rare", F.lit(0))
-    got = sorted((str(r["doc_id"]), *tuple(r)[1:]) for r in bpe.digests(df, SPEC, 1).collect())
+    got = sorted((str(r["doc_id"]), *tuple(r)[1:]) for r in bpe.digests(df, SPEC).collect())
     assert got == sorted((str(i), *plain(library, t)) for i, t, _ in rows)
 
 
