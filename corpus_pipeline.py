@@ -1,6 +1,6 @@
 """A training corpus from ``documents`` in five stages, each a table that the next one reads.
 
-Quality rules drop documents that repeat themselves; SimHash near-dedup keeps the first of each group
+Quality rules drop documents that repeat themselves; SimHash near-dedup keeps one row of each group
 of near copies; suffix-array dedup takes passages that stand in several places out of the texts;
 mixing draws documents so that sources reach their target weights (a document may come up to three
 times); BPE encoding turns what is left into ids.
@@ -29,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_first(docs)
+    return simhash.keep_one(docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

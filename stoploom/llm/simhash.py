@@ -332,7 +332,7 @@ def probe_links(classes: DataFrame, search: Search) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, words: int, distance: int) -> DataFrame:
-    """(doc_id, text_hash, fp, component_id) of every row."""
+    """(doc_id, text_hash, fp, root, component_id) of every row; root is the group's own key."""
     prints = keep(fingerprints(docs, words), "prints")
     fps = keep(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "fps")
     search = plan_search(fps.select("fp"), distance)
@@ -343,7 +343,7 @@ def _grouped(docs: DataFrame, words: int, distance: int) -> DataFrame:
     groups = classes.join(second, "root", "left").select("fp", F.coalesce("end", "root").alias("root"))
     named = keep(fps.join(groups, "fp"), "groups")
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return prints.join(named.join(least, "root").select("fp", "component_id"), "fp")
+    return prints.join(named.join(least, "root").select("fp", "root", "component_id"), "fp")
 
 
 def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
@@ -361,3 +361,21 @@ def keep_first(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DIST
     first = first.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     match = same(docs["doc_id"], F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash"))
     return docs.join(first, match, "left_semi")
+
+
+def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
+    """Exactly one row of each group, with all its columns: the smallest doc_id (null after all others),
+    then the smallest hash of the text, then the smallest other columns as text.
+
+    Only rows that repeat the first row's doc_id and text are compared by their other columns, in an
+    aggregation that reduces them before the exchange."""
+    found = _grouped(docs, words, distance).groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n")).alias("x")
+    first = found.groupBy("root").agg(least).select(F.col("x.doc_id").alias("__id"), F.col("x.text_hash").alias("__hash"), F.col("x.n").alias("__rows"))
+    first = keep(first, "first")
+    match = same(docs["doc_id"], F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash"))
+    once = docs.join(first.where("__rows = 1"), match, "left_semi")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    order = F.struct(F.lit("").alias("none"), *[F.col(f"`{c}`").cast("string") for c in docs.columns if c not in ("doc_id", "text")])
+    tied = docs.join(first.where("__rows > 1"), match).groupBy("__id", "__hash").agg(F.min_by(F.struct(*names), order).alias("__row"))
+    return once.union(tied.select("__row.*"))

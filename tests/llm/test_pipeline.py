@@ -45,6 +45,21 @@ def test_stages_equal_plain_versions(spark, docs, tables):
     assert got == want and len(kept) < len(rows) and len(first) < len(kept) and len(mixed) > 10
 
 
+def test_one_row_of_each_group_stays(spark, docs, tables):
+    """Repeated rows, one id with two texts, and copies without ids; each text comes out whole, once."""
+    rng = random.Random(8)
+    a, b, c, d, e = (" ".join("".join(rng.choices("abcdefghijklm", k=rng.randint(4, 9))) for _ in range(120)) for _ in range(5))
+    rows = [(1, a, "x")] * 3 + [(2, b, "y"), (2, b, "x"), (9, b, "x")] + [(None, c, "x")] * 4 + [(None, d, "x"), (3, d, "x")]
+    rows += [(4, e, "x"), (4, e + " tail", "x"), (5, "", "x")]
+    out = corpus_pipeline.simhash_near_dedup(spark, docs(rows).repartition(5), "")
+    got = sorted(((r["doc_id"], r["text"], r["source"]) for r in out.collect()), key=str)
+    either = [r for r in got if r[0] == 4]
+    assert len(either) == 1 and either[0] in rows
+    assert [r for r in got if r[0] != 4] == sorted([(1, a, "x"), (2, b, "x"), (None, c, "x"), (3, d, "x"), (5, "", "x")], key=str)
+    encoded = [r["doc_id"] for r in corpus_pipeline.run(spark, tables(documents=docs(rows))).collect()]
+    assert {1, 2, 3, 4, None} <= set(encoded)
+
+
 def test_stages_keep_columns_of_any_name(spark, docs):
     names = ["quality", "root", "fp", "data", "side", "copies", "shards", "start", "n", "__null_"]
     df = docs(sample(6)).select("*", *[F.lit(k).alias(c) for k, c in enumerate(names)])
