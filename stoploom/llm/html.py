@@ -9,7 +9,9 @@ gap of each class taken before, or around it. What the template's tokens leave o
 
 The main text is what stands in the slots of the article: the page's ``article`` or ``main`` element,
 or, where it names none, the element that holds most of the text in the host's slots, less blocks
-that are template tokens. Elements that are by tag, role or name a menu, header, footer, sidebar,
+that are template tokens. Tokens count inside articles, too. A class that holds more than ``COPY_SHARE``
+of what the host's articles hold on average is not template but a copied article, and an article
+of nothing but template text stays whole. Elements that are by tag, role or name a menu, header, footer, sidebar,
 notice, advert, form or comment are left out everywhere.
 
 Occurrence vectors are summed as two hashes, so no vector is ever held; a template is one row a host.
@@ -40,6 +42,8 @@ CLASS_PAGES = 3
 CLASS_SHARE = 0.5
 #: The share of a host's slot text that the main element holds, where pages name no article.
 MAIN_SHARE = 0.5
+#: The share of the host's mean article text above which a class is a copied article.
+COPY_SHARE = 0.5
 SALTS = 16
 
 #: Elements without an end tag, elements that start a block of text, elements with no text.
@@ -116,10 +120,8 @@ class Block:
         self.text, self.path, self.article, self.tokens = text, path, article, tokens
 
 
-def parse(page: str, articles: bool = True, others: bool = True) -> tuple[list[Block], list[int]]:
-    """The blocks that are not something else by name, and all tokens of the page outside of articles.
-
-    ``articles``, ``others``: whether what stands inside, or outside, of articles is wanted."""
+def parse(page: str) -> tuple[list[Block], list[int]]:
+    """The blocks that are not something else by name, and all tokens of the page."""
     blocks: list[Block] = []
     tokens: list[int] = []
     stack: list[tuple[str, bool, bool, str]] = []  # tag, other, article, label
@@ -130,9 +132,6 @@ def parse(page: str, articles: bool = True, others: bool = True) -> tuple[list[B
         if not parts:
             return
         article = bool(stack) and stack[-1][2]
-        if not (articles if article else others):
-            parts.clear()
-            return
         own = "".join(t for t, other in parts if not other)
         text = " ".join(references.unescape(own).split())
         aside = not text
@@ -142,8 +141,7 @@ def parse(page: str, articles: bool = True, others: bool = True) -> tuple[list[B
         if not text:
             return
         path = tuple(s[3] for s in stack if s[0] in CONTAINERS)
-        if not article:
-            tokens.append(digest("/".join(path) + "\0" + text))
+        tokens.append(digest("/".join(path) + "\0" + text))
         if not aside:
             blocks.append(Block(text, path, article, len(tokens)))
 
@@ -188,7 +186,7 @@ def parse(page: str, articles: bool = True, others: bool = True) -> tuple[list[B
             other, article = other and not wraps, True
         label = tag + "".join(f".{w}" for w in sorted(named.get("class", "").split())[:4])
         stack.append((tag, other or out, article, label))
-        if others and not article and tag in CONTAINERS:
+        if tag in CONTAINERS:
             tokens.append(digest("/".join(s[3] for s in stack if s[0] in CONTAINERS)))
     if at < len(page):
         hold(page[at:])
@@ -210,16 +208,19 @@ def _path_token(path: tuple[str, ...]) -> int:
     return _signed(xxhash.xxh64_intdigest("/".join(path), 1))
 
 
-def page_tokens(page: str) -> tuple[dict[int, tuple[int, int]], dict[int, tuple[int, int]]]:
-    """{token: (count, first place)} and, of blocks outside articles, {path: (depth, characters)}."""
-    blocks, tokens = parse(page, articles=False)
-    seen: dict[int, tuple[int, int]] = {}
+def page_tokens(page: str) -> tuple[dict[int, tuple[int, int, int]], dict[int, tuple[int, int]]]:
+    """{token: (count, first place, characters in articles)} and, of blocks outside articles, {path: (depth, characters)}."""
+    blocks, tokens = parse(page)
+    seen: dict[int, tuple[int, int, int]] = {}
     for place, token in enumerate(tokens):
-        n, first = seen.get(token, (0, place))
-        seen[token] = n + 1, first
+        n, first, _ = seen.get(token, (0, place, 0))
+        seen[token] = n + 1, first, 0
     mass: dict[int, tuple[int, int]] = {}
     for b in blocks:
-        if not b.article:
+        if b.article:
+            n, first, chars = seen[tokens[b.tokens - 1]]
+            seen[tokens[b.tokens - 1]] = n, first, chars + len(b.text)
+        else:
             for depth in range(len(b.path) + 1):
                 path = _path_token(b.path[:depth])
                 mass[path] = depth, mass.get(path, (0, 0))[1] + len(b.text)
@@ -227,8 +228,8 @@ def page_tokens(page: str) -> tuple[dict[int, tuple[int, int]], dict[int, tuple[
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
-    """(host, classes, mains): the candidate classes of each host, each with its tokens in order, and the
-    path of the element that holds most text outside of articles."""
+    """(host, classes, mains): the candidate classes of each host, each with its tokens in order and whether
+    it is a copied article, and the path of the element that holds most text outside of articles."""
     own = pages.where("host IS NOT NULL").select("host", F.xxhash64("page_id", "html").alias("page"), "html")
     names = ["host", "kind", "token", "page", "n", "place", "mass"]
 
@@ -237,8 +238,9 @@ def host_templates(pages: DataFrame) -> DataFrame:
             out = []
             for host, page, text in zip(batch.column("host").to_pylist(), batch.column("page").to_pylist(), batch.column("html"), strict=True):
                 tokens, mass = page_tokens(text.as_py() or "")
-                out.append((host, 0, 0, page, 1, 0, 0))
-                out += [(host, 1, t, page, n, first, 0) for t, (n, first) in tokens.items()]
+                inside = sum(chars for _, _, chars in tokens.values())
+                out.append((host, 0, 0, page, 1, int(inside > 0), inside))
+                out += [(host, 1, t, page, n, first, chars) for t, (n, first, chars) in tokens.items()]
                 out += [(host, 2, t, page, 1, depth, chars) for t, (depth, chars) in mass.items()]
             columns = list(zip(*out, strict=True)) or [()] * len(names)
             kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 5]
@@ -252,12 +254,14 @@ def host_templates(pages: DataFrame) -> DataFrame:
         F.count("*").alias("pages"), F.sum(low).alias("v1"), F.sum(high).alias("v2"), F.sum("place").alias("places"), F.sum("mass").alias("mass")
     )
     often = sums.where((F.col("pages") >= CLASS_PAGES) | (F.col("kind") == 0) | (F.col("kind") == 2))
-    of_host = often.where("kind = 0").select(F.col("host").alias("h"), F.col("pages").alias("all_pages"))
+    mean = F.col("mass") / F.greatest("places", F.lit(1))
+    of_host = often.where("kind = 0").select(F.col("host").alias("h"), F.col("pages").alias("all_pages"), mean.alias("mean"))
     frequent = often.where("kind = 1").join(of_host, F.col("host") == F.col("h")).where(F.col("pages") >= CLASS_SHARE * F.col("all_pages"))
     member = F.struct((F.col("places") / F.col("pages")).alias("place"), F.col("token"))
-    classes = frequent.groupBy("host", "pages", "v1", "v2").agg(F.array_sort(F.collect_list(member)).alias("members"))
+    copied = (F.sum(F.col("mass") / F.col("pages")) > COPY_SHARE * F.max("mean")).alias("copied")
+    classes = frequent.groupBy("host", "pages", "v1", "v2").agg(F.array_sort(F.collect_list(member)).alias("members"), copied)
     classes = classes.where(F.size("members") >= CLASS_TOKENS)
-    one = F.struct(F.col("pages"), F.transform("members", lambda x: x["token"]).alias("tokens"))
+    one = F.struct(F.col("pages"), F.transform("members", lambda x: x["token"]).alias("tokens"), F.col("copied"))
     classes = classes.groupBy("host").agg(F.sort_array(F.collect_list(one), asc=False).alias("classes"))
     paths = often.where("kind = 2").select("host", "token", F.col("mass"), (F.col("places") / F.col("pages")).alias("depth"))
     whole = paths.where("depth = 0").select(F.col("host").alias("h"), F.col("mass").alias("all_mass"))
@@ -287,14 +291,15 @@ def template_tokens(tokens: list[int], classes: list[dict] | None) -> set[int]:
 
 
 def main_text(page: str, classes: list[dict] | None, main: int | None) -> str:
-    chosen, _ = parse(page, others=False)
-    if not chosen:
-        blocks, tokens = parse(page)
-        fixed = template_tokens(tokens, classes)
-        slots = [b for b in blocks if _signed(tokens[b.tokens - 1]) not in fixed]
-        inside = [b for b in slots if main is not None and any(_path_token(b.path[:k]) == main for k in range(len(b.path) + 1))]
-        chosen = inside or slots
-    return "\n".join(b.text for b in chosen)
+    blocks, tokens = parse(page)
+    fixed = template_tokens(tokens, classes)
+    named = [b for b in blocks if b.article]
+    if named:
+        fixed = fixed.difference(*(c["tokens"] for c in classes or () if c.get("copied")))
+        return "\n".join(b.text for b in [b for b in named if _signed(tokens[b.tokens - 1]) not in fixed] or named)
+    slots = [b for b in blocks if _signed(tokens[b.tokens - 1]) not in fixed]
+    inside = [b for b in slots if main is not None and any(_path_token(b.path[:k]) == main for k in range(len(b.path) + 1))]
+    return "\n".join(b.text for b in inside or slots)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -83,3 +83,20 @@ def test_nulls_copies_and_empty_table(spark):
     want = [(str(i), "the same text on every page", 27) for i, _, h in rows[:15]] + [("None", "m", 1), ("50", "", 0), ("51", "", 0), ("52", "p", 1)]
     assert got == sorted(want)
     assert html.extract(spark.createDataFrame([], PAGES)).collect() == []
+
+
+def test_template_text_inside_articles(spark):
+    """Blocks on every page of a host leave its articles; copies of a page keep their text."""
+    rng = random.Random(4)
+    notice, menu, body = words(rng, 30), words(rng, 4), words(rng, 90)
+    rows, want = [], {}
+    for i in range(20):
+        own = [words(rng, rng.randint(30, 90)) for _ in range(3)]
+        rows.append((i, f"http://a.example/{i}", f"<body><article><div class=q7><p>{menu}</p></div>{''.join(f'<p>{x}</p>' for x in own)}<div><p>{notice}</p></div></article></body>"))
+        want[i] = "\n".join(own)
+    for i in range(20, 24):  # copies whose titles differ, among few pages
+        title = words(rng, 6)
+        rows.append((i, f"http://b.example/{i}", f"<body><main><h1>{title}</h1><p>{body}</p></main></body>"))
+        want[i] = f"{title}\n{body}"
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, PAGES).repartition(4)).collect()}
+    assert got == want
