@@ -12,7 +12,9 @@ or, where it names none, the element that holds most of the text in the host's s
 that are template tokens. Tokens count inside articles, too. A class that holds more than ``COPY_SHARE``
 of what the host's articles hold on average is not template but a copied article, and an article
 of nothing but template text stays whole. Elements that are by tag, role or name a menu, header, footer, sidebar,
-notice, advert, form or comment are left out everywhere.
+notice, advert, form or comment are left out everywhere; inside articles, where only a part of a name
+says so, if the host's template holds the element or all of its text. Without a template the name's last
+part decides. An id says nothing of a heading, nor a part of one of a section.
 
 Occurrence vectors are summed as two hashes, so no vector is ever held; a template is one row a host.
 Pages cross one exchange, compressed, dealt by host and a salt, so that a host with a third of all pages
@@ -34,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import keep, small_batches
 from .urls import host_of
 
 CLASS_TOKENS = 2
@@ -66,6 +68,7 @@ OTHER_NAMES = frozenset(
 )
 HEADER_NAMES = frozenset("header head".split())
 ARTICLE_NAMES = frozenset("article content entry main page post story text body wrapper container".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MODIFIERS = frozenset("has with without no is js not".split())
 
 _MARKUP = re.compile(
@@ -97,9 +100,11 @@ def is_other(tag: str, named: dict[str, str], in_article: bool) -> bool:
         return True
     if "display:none" in named.get("style", "").replace(" ", "").lower():
         return True
+    if in_article:
+        return bool(OTHER_NAMES & {w.lower() for _, w in _names(tag, named)})
     words = " ".join(named.get(a, "") for a in ("class", "id", "aria-label")).split()
     whole = {w.lower() for w in words}
-    other = OTHER_NAMES if in_article else OTHER_NAMES | HEADER_NAMES
+    other = OTHER_NAMES | HEADER_NAMES
     if whole & other:
         return True
     if tag in ("article", "main") or whole & ARTICLE_NAMES:
@@ -111,42 +116,71 @@ def is_other(tag: str, named: dict[str, str], in_article: bool) -> bool:
     return False
 
 
+def _names(tag: str, named: dict[str, str]) -> list[tuple[str, str]]:
+    """(attribute, name) of an element in an article; a label is one name."""
+    out = [(a, w) for a in ("class", "id") for w in named.get(a, "").split() if a == "class" or tag not in HEADINGS]
+    return out + [("aria-label", named["aria-label"])] if named.get("aria-label") else out
+
+
+def candidate(tag: str, named: dict[str, str]) -> tuple[str, bool] | None:
+    """The name of an element in an article that may be no part of it, and whether its last part says so."""
+    names = _names(tag, named)
+    if tag in ("article", "main") or ARTICLE_NAMES & {w.lower() for _, w in names}:
+        return None
+    found, last = [], False
+    for attribute, word in names:
+        parts = [p.lower() for p in _PARTS.split(word) if p]
+        if parts and parts[0] not in MODIFIERS and OTHER_NAMES.intersection(parts) and not (tag == "section" and attribute == "id"):
+            found.append("-".join(parts))
+            last = last or parts[-1] in OTHER_NAMES
+    return (" ".join([tag, *found]), last) if found else None
+
+
 class Block:
-    """A block of text: its path, whether it stands in an article, and the token before it."""
+    """A block of text: its path, whether it stands in an article, the token before it, and its parts
+    with the candidates around each, if there are any."""
 
-    __slots__ = ("article", "path", "text", "tokens")
+    __slots__ = ("article", "parts", "path", "text", "tokens")
 
-    def __init__(self, text: str, path: tuple[str, ...], article: bool, tokens: int):
-        self.text, self.path, self.article, self.tokens = text, path, article, tokens
+    def __init__(self, text: str, path: tuple[str, ...], article: bool, tokens: int, parts: list[tuple[str, tuple]]):
+        self.text, self.path, self.article, self.tokens, self.parts = text, path, article, tokens, parts
 
+    def without(self, dropped: set[int]) -> str:
+        """The text less what stands in these candidates."""
+        if not any(c in dropped for _, around in self.parts for c in around):
+            return self.text
+        return " ".join(references.unescape("".join(t for t, around in self.parts if not dropped.intersection(around))).split())
 
-def parse(page: str) -> tuple[list[Block], list[int]]:
-    """The blocks that are not something else by name, and all tokens of the page."""
+
+def parse(page: str) -> tuple[list[Block], list[int], dict[int, bool]]:
+    """The blocks that are not something else by name, all tokens of the page, and its candidates: {token: last part says so}."""
     blocks: list[Block] = []
     tokens: list[int] = []
-    stack: list[tuple[str, bool, bool, str]] = []  # tag, other, article, label
-    parts: list[tuple[str, bool]] = []  # text, and whether it stands in something else
+    candidates: dict[int, bool] = {}
+    stack: list[tuple[str, bool, bool, str, tuple[int, ...]]] = []  # tag, other, article, label, candidates around
+    parts: list[tuple[str, bool, tuple[int, ...]]] = []  # text, whether it stands in something else, candidates around
     digest = xxhash.xxh64_intdigest
 
     def flush() -> None:
         if not parts:
             return
         article = bool(stack) and stack[-1][2]
-        own = "".join(t for t, other in parts if not other)
+        own = "".join(t for t, other, _ in parts if not other)
         text = " ".join(references.unescape(own).split())
         aside = not text
         if aside:
-            text = " ".join(references.unescape("".join(t for t, _ in parts)).split())
+            text = " ".join(references.unescape("".join(t for t, _, _ in parts)).split())
+        kept = [(t, around) for t, other, around in parts if not other] if candidates else []
         parts.clear()
         if not text:
             return
         path = tuple(s[3] for s in stack if s[0] in CONTAINERS)
         tokens.append(digest("/".join(path) + "\0" + text))
         if not aside:
-            blocks.append(Block(text, path, article, len(tokens)))
+            blocks.append(Block(text, path, article, len(tokens), kept))
 
     def hold(text: str) -> None:
-        parts.append((text, bool(stack) and stack[-1][1]))
+        parts.append((text, stack[-1][1], stack[-1][4]) if stack else (text, False, ()))
 
     at = 0
     for m in _MARKUP.finditer(page):
@@ -178,20 +212,26 @@ def parse(page: str) -> tuple[list[Block], list[int]]:
         if tag == "body":  # ends a head that has no end tag
             stack = [s for s in stack if s[0] == "html"]
         named = _attributes(m[4])
-        _, other, article, _ = stack[-1] if stack else ("", False, False, "")
+        _, other, article, _, around = stack[-1] if stack else ("", False, False, "", ())
         out = is_other(tag, named, article)
         if tag in ("article", "main") and not out:
             # an article inside a form or header that wraps the whole page is still one
             wraps = all(s[0] in ("form", "header", "fieldset") for i, s in enumerate(stack) if s[1] and (i == 0 or not stack[i - 1][1]))
             other, article = other and not wraps, True
         label = tag + "".join(f".{w}" for w in sorted(named.get("class", "").split())[:4])
-        stack.append((tag, other or out, article, label))
+        stack.append((tag, other or out, article, label, around))
         if tag in CONTAINERS:
             tokens.append(digest("/".join(s[3] for s in stack if s[0] in CONTAINERS)))
+        maybe = candidate(tag, named) if named and article and not (other or out) else None
+        if maybe:  # its start and its name
+            start = "/".join(s[3] for s in stack[:-1] if s[0] in CONTAINERS) + "\0" + maybe[0]
+            tokens += [digest(start, 2), digest(start, 3)]
+            candidates[tokens[-1]] = maybe[1]
+            stack[-1] = (tag, other or out, article, label, (*around, tokens[-1]))
     if at < len(page):
         hold(page[at:])
     flush()
-    return blocks, tokens
+    return blocks, tokens, candidates
 
 
 #: Elements whose nesting makes a path.
@@ -210,7 +250,7 @@ def _path_token(path: tuple[str, ...]) -> int:
 
 def page_tokens(page: str) -> tuple[dict[int, tuple[int, int, int]], dict[int, tuple[int, int]]]:
     """{token: (count, first place, characters in articles)} and, of blocks outside articles, {path: (depth, characters)}."""
-    blocks, tokens = parse(page)
+    blocks, tokens, _ = parse(page)
     seen: dict[int, tuple[int, int, int]] = {}
     for place, token in enumerate(tokens):
         n, first, _ = seen.get(token, (0, place, 0))
@@ -253,7 +293,8 @@ def host_templates(pages: DataFrame) -> DataFrame:
     sums = rows.groupBy("host", "kind", "token").agg(
         F.count("*").alias("pages"), F.sum(low).alias("v1"), F.sum(high).alias("v2"), F.sum("place").alias("places"), F.sum("mass").alias("mass")
     )
-    often = sums.where((F.col("pages") >= CLASS_PAGES) | (F.col("kind") == 0) | (F.col("kind") == 2))
+    # read three times below, so that pages are parsed once for it
+    often = keep(sums.where((F.col("pages") >= CLASS_PAGES) | (F.col("kind") == 0) | (F.col("kind") == 2)), "tokens")
     mean = F.col("mass") / F.greatest("places", F.lit(1))
     of_host = often.where("kind = 0").select(F.col("host").alias("h"), F.col("pages").alias("all_pages"), mean.alias("mean"))
     frequent = often.where("kind = 1").join(of_host, F.col("host") == F.col("h")).where(F.col("pages") >= CLASS_SHARE * F.col("all_pages"))
@@ -290,13 +331,29 @@ def template_tokens(tokens: list[int], classes: list[dict] | None) -> set[int]:
     return out
 
 
+def dropped_candidates(blocks: list[Block], tokens: list[int], candidates: dict[int, bool], fixed: set[int], known: bool) -> set[int]:
+    """The candidates that the template confirms: their start or all blocks around which they stand; without one, by name."""
+    if not known:
+        return {c for c, last in candidates.items() if last}
+    out = {c for c in candidates if _signed(c) in fixed}
+    held: dict[int, bool] = {}
+    for b in blocks:
+        for c in {c for _, around in b.parts for c in around}:
+            whole = all(c in around or not t.strip() for t, around in b.parts)
+            held[c] = held.get(c, True) and whole and _signed(tokens[b.tokens - 1]) in fixed
+    return out | {c for c, template in held.items() if template}
+
+
 def main_text(page: str, classes: list[dict] | None, main: int | None) -> str:
-    blocks, tokens = parse(page)
+    blocks, tokens, candidates = parse(page)
     fixed = template_tokens(tokens, classes)
     named = [b for b in blocks if b.article]
     if named:
         fixed = fixed.difference(*(c["tokens"] for c in classes or () if c.get("copied")))
-        return "\n".join(b.text for b in [b for b in named if _signed(tokens[b.tokens - 1]) not in fixed] or named)
+        dropped = dropped_candidates(named, tokens, candidates, fixed, classes is not None) if candidates else set()
+        left = [(b, t) for b in named if (t := b.without(dropped))]
+        own = [t for b, t in left if _signed(tokens[b.tokens - 1]) not in fixed]
+        return "\n".join(own or [t for _, t in left])
     slots = [b for b in blocks if _signed(tokens[b.tokens - 1]) not in fixed]
     inside = [b for b in slots if main is not None and any(_path_token(b.path[:k]) == main for k in range(len(b.path) + 1))]
     return "\n".join(b.text for b in inside or slots)

@@ -100,3 +100,20 @@ def test_template_text_inside_articles(spark):
         want[i] = f"{title}\n{body}"
     got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, PAGES).repartition(4)).collect()}
     assert got == want
+
+
+def test_parts_of_names_inside_articles(spark):
+    """A part of a name drops an element of an article only where the host's template holds it, too."""
+    read = lambda page: html.main_text(page, None, None)
+    assert read("<article><h2 id='related-work'>a</h2><h2 id=search>b</h2><section id='search-algorithms'>c</section></article>") == "a\nb\nc"
+    assert read("<main><div id='login-instructions'>a</div><section aria-label='Social history'>b</section><p class='copyright-law'>c</p></main>") == "a\nb\nc"
+    rng = random.Random(6)
+    rows, want = [], {}
+    for i in range(20):
+        own, rest = words(rng, 40), words(rng, 40)
+        law = f"<p class='copyright-law'>{rest}</p>" if i == 7 else f"<p>{rest}</p>"
+        links = f"<div class='related-posts-{i}'><p>{words(rng, 9)}</p></div>"
+        rows.append((i, f"http://a.example/{i}", f"<body><article><h2 id='related-{i}'>{own}</h2>{law}{links}<p>x{i} <b class='share-note'>{words(rng, 3)}</b></p></article></body>"))
+        want[i] = f"{own}\n{rest}\nx{i}"
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, PAGES).repartition(4)).collect()}
+    assert got == want
