@@ -127,9 +127,104 @@ def _mixing() -> str:
     """
 
 
+def _crc32(text: str, table: str) -> str:
+    """Checksum of a text's bytes; ``table``: the 256 remainders as a list."""
+    step = f"lambda c, b: xor(c >> 8, {table}[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce([('0x' || h)::BIGINT FOR h IN regexp_extract_all(hex({text}), '..')], {step}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+_REMAINDERS = """(SELECT [list_reduce([k::BIGINT FOR k IN range(8)], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, i::BIGINT)
+        FOR i IN range(256)] AS t)"""
+
+
+def _sharding() -> str:
+    def draw(name: str, weight: int) -> str:
+        return f"ln((('0x' || substr(md5(key || '@' || {name}), 1, 13))::BIGINT + 1)::DOUBLE / 4503599627370496) / {weight}"
+
+    def best(options: list[tuple[str, int]]) -> str:
+        return "list_max([" + ", ".join(f"{{'d': {draw(n, w)}, 'n': {n}}}" for n, w in options) + "]).n"
+
+    # the rack's shards: region * 8 + rack * 4 + 0 .. 3; the tree of one more shard has a region 2 of weight 1
+    rack = best([("region || '/0'", 4), ("region || '/1'", 4)])
+    first = "(region::INT * 8 + split_part(rack, '/', 2)::INT * 4"
+    shard = best([(f"rack || '/' || {first} + {k})", 1) for k in range(4)])
+    grown = best([("'0'", 8), ("'1'", 8), ("'2'", 1)])
+    return f"""
+    WITH crc AS {_REMAINDERS},
+    docs AS (SELECT doc_id, coalesce(text, '') AS text, coalesce('=' || doc_id, 'null') AS key FROM documents),
+    facts AS (SELECT doc_id, key, (strlen(text) + 1)::BIGINT AS size, CASE WHEN text = '' THEN 0::BIGINT ELSE {_crc32("text", "t")} END AS text_crc32 FROM docs, crc),
+    regions AS (SELECT *, {best([("'0'", 8), ("'1'", 8)])} AS region, {grown} AS grown FROM facts),
+    racks AS (SELECT *, {rack} AS rack FROM regions),
+    placed AS (SELECT *, split_part({shard}, '/', 3)::INT AS shard FROM racks)
+    SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+           row_number() OVER (PARTITION BY shard ORDER BY md5(key || '|=' || size || '|=' || text_crc32), doc_id, size, text_crc32) - 1 AS slot,
+           CASE WHEN grown = '2' THEN 16 ELSE shard END AS grown_shard
+    FROM placed
+    """
+
+
+def _repair() -> str:
+    nexts = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+
+    def put(cost: str, letter: str, state: int) -> str:
+        return f"CASE WHEN v{state} IS NOT NULL THEN {{'c': v{state}.c + {cost}, 'a': '{letter}' || v{state}.a}} END"
+
+    def least(ways: list[str]) -> str:
+        return f"list_min([x FOR x IN [{', '.join(ways)}] IF x IS NOT NULL])"
+
+    def inserts(source: str, more: str) -> str:
+        columns = [least([f"v{q}", *(put("5", "I", to) for c, to in nexts[q].items() if c in "ua")]) + f" AS v{q}" for q in range(4)]
+        return f"(SELECT {more}, {', '.join(columns)} FROM {source})"
+
+    columns = []
+    for q in range(4):
+        ways = [put("2", "D", q)]
+        for c, to in nexts[q].items():
+            ways.append(f"CASE WHEN fault NOT IN (1, 2) AND initial = '{c}' THEN {put('5 * (fault = 3)::INT', 'K', to)} END")
+            if c in "ua":
+                ways.append(f"CASE WHEN fault NOT IN (1, 2) THEN {put('1 + 5 * (fault = 3)::INT', 'R', to)} END")
+        columns.append(f"{least(ways)} AS v{q}")
+    step = f"(SELECT k.conv, dp.i - 1 AS i, {', '.join(columns)} FROM dp JOIN faulty k ON k.conv = dp.conv AND k.i = dp.i)"
+    nothing = "{'c': 0::BIGINT, 'a': ''}"
+    ends = f"(SELECT conv, n AS i, {nothing} AS v0, NULL::STRUCT(c BIGINT, a VARCHAR) AS v1, NULL::STRUCT(c BIGINT, a VARCHAR) AS v2, {nothing} AS v3 FROM per)"
+    blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+    WITH RECURSIVE crc AS {_REMAINDERS},
+    turns AS (SELECT coalesce(conv_id::VARCHAR, 'null') AS conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                     {_crc32("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))", "t")} % 20 AS kind FROM conversations, crc),
+    damaged AS (SELECT conv, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+                       CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+                FROM turns, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END) AS copies(c)),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, md5(role), md5(text)) AS i,
+                        right(rtrim(text, {blanks}), 1) AS tail, role[1:1] AS initial FROM damaged),
+    faulty AS (SELECT *, CASE WHEN tail = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 THEN 2
+                              WHEN tail NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+                      lag(initial) OVER (PARTITION BY conv ORDER BY i) AS before FROM numbered),
+    per AS (SELECT conv, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+                   count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM faulty GROUP BY conv),
+    dp AS (SELECT * FROM {inserts(inserts(ends, "conv, i"), "conv, i")}
+           UNION ALL SELECT * FROM {inserts(inserts(step, "conv, i"), "conv, i")}),
+    plans AS (SELECT conv, v0.c AS cost, v0.a AS audit FROM dp WHERE i = 0),
+    -- no cheapest list holds an insert, so edit i is row i's
+    edited AS (SELECT f.conv, f.i, f.role, f.text, f.initial, substr(audit, f.i::INT, 1) AS edit FROM faulty f JOIN plans USING (conv)),
+    left_over AS (SELECT *, row_number() OVER w - (first_value(edit = 'K' AND initial = 's') OVER w)::INT AS k FROM edited WHERE edit <> 'D'
+                  WINDOW w AS (PARTITION BY conv ORDER BY i)),
+    joined AS (SELECT conv, string_agg(CASE WHEN edit = 'K' THEN role WHEN k % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY i) AS t
+               FROM left_over GROUP BY conv)
+    SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+           coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+           coalesce(audit, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id, coalesce(conv_id::VARCHAR, 'null') AS conv FROM conversations) c
+    LEFT JOIN per USING (conv) LEFT JOIN plans USING (conv) LEFT JOIN joined USING (conv)
+    """
+
+
 ORACLE: dict[str, str] = {
     "op3_warc": _warc(),
     "op5_url_filters": _urls(),
     "op7_quality_rules": _quality(),
     "op10_mixing": _mixing(),
+    "op11_sharding": _sharding(),
+    "op13_conversation_repair": _repair(),
 }

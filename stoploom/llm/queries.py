@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, html, mixing, quality, simhash, suffixes, urls, warc
+from . import alignment, bpe, chat, fingerprints, html, mixing, quality, repair, sharding, simhash, suffixes, urls, warc
 from .common import scratch, table
 
 #: The tokenizer file that op6 and the pipeline use.
 VOCABULARY = "word_bpe_49k.json"
+#: The tokenizer files that op12 aligns.
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,6 +108,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), alignment.load(*map(public_tokenizers.path, ALIGNED)))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -117,4 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_html_extraction": op9_html_extraction,
     "op10_mixing": op10_mixing,
+    "op11_sharding": op11_sharding,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_conversation_repair": op13_conversation_repair,
 }
