@@ -53,5 +53,16 @@ def text_bytes(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores behind it where ``df`` has a column of that name."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, small_batches, text_bytes
+from .common import keep, small_batches, text_bytes, unused
 
 LENGTH = 400
 ANCHOR = 64
@@ -403,7 +403,8 @@ def strip(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     A character that loses some of its bytes goes as a whole; a null text stays null."""
     side = [c for c in docs.columns if c != "text"]
-    rows = _with_spans(docs.withColumn("__null", F.col("text").isNull()), [*side, "__null"], length)
+    (absent,) = unused(docs, "absent")
+    rows = _with_spans(docs.withColumn(absent, F.col("text").isNull()), [*side, absent], length)
     schema = rows.select("side").schema.add("text", "string")
 
     def run(batches):
@@ -413,6 +414,6 @@ def strip(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 out.append(_cut(_raw(data.as_py(), n.as_py()), spans.as_py(), length)[0].decode(errors="ignore"))
             yield pa.RecordBatch.from_arrays([batch.column("side"), pa.array(out, pa.string())], names=["side", "text"])
 
-    done = rows.mapInArrow(run, schema).withColumn("text", F.when(~F.col("side.__null"), F.col("text")))
+    done = rows.mapInArrow(run, schema).withColumn("text", F.when(~F.col("side").getField(absent), F.col("text")))
     made = {"text": F.col("text"), "n_chars": F.coalesce(F.char_length("text").cast("long"), F.col("side").getField("n_chars")) if "n_chars" in side else None}
     return done.select(*[(made[c] if made.get(c) is not None else F.col("side").getField(c)).alias(c) for c in docs.columns])

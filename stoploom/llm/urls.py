@@ -67,7 +67,7 @@ def validity(entries: DataFrame) -> DataFrame:
 
 def judge(captures: DataFrame, intervals: DataFrame, url: str = "url", day: str = "day") -> DataFrame:
     """``captures`` with ``blocked``, ``n_active`` (entries active at the fetch), ``lists`` (their names) and
-    ``first_active`` (the smallest of them as text)."""
+    ``first_active`` (the smallest of them as text); columns of these names are replaced."""
     targets = captures.select(F.col(url).alias("u"), F.col(day).alias("d")).distinct()
     keyed = targets.select("u", "d", F.explode(keys_of(F.col("u"))).alias("k")).select("u", "d", "k.kind", "k.pattern")
     active = keyed.join(intervals, ["kind", "pattern"]).where("valid_from <= d AND (valid_to IS NULL OR d < valid_to)")
@@ -81,7 +81,7 @@ def judge(captures: DataFrame, intervals: DataFrame, url: str = "url", day: str
     )
     joined = captures.join(verdicts, same(captures[url], F.col("__u")) & same(captures[day], F.col("__d")), "left")
     return joined.select(
-        *[captures[c] for c in captures.columns],
+        *[captures[c] for c in captures.columns if c.lower() not in ("blocked", "n_active", "lists", "first_active")],
         F.coalesce("__found.all_block", F.lit(False)).alias("blocked"),
         F.coalesce("__found.n", F.lit(0)).cast("long").alias("n_active"),
         F.coalesce("__found.names", F.lit("")).alias("lists"),
