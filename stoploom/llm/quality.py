@@ -17,7 +17,7 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -91,6 +91,24 @@ def measure(text: str | None, widths: tuple[int, ...]) -> tuple[int, ...]:
     )
 
 
+def _fields(window_limits: dict[int, float]) -> list[str]:
+    return [*_MEASURES, *(f"dup_chars_{w}" for w in sorted(window_limits))]
+
+
+def _verdict(m: Column, window_limits: dict[int, float], line_limit: float) -> tuple[Column, Column]:
+    """(base_failed, kept) of measures."""
+    base = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
+    clean = m["dup_line_chars"] <= F.lit(line_limit) * m["word_chars"]
+    for w in sorted(window_limits):
+        clean &= m[f"dup_chars_{w}"] <= F.lit(window_limits[w]) * m["word_chars"]
+    return base, ~base & clean
+
+
+def _measured(texts: pa.Array, fields: list[str], widths: tuple[int, ...]) -> pa.Array:
+    found = [dict(zip(fields, measure(t.as_py(), widths), strict=True)) for t in texts]
+    return pa.array(found, type=pa.struct([(f, pa.int64()) for f in fields]))
+
+
 def repetition(
     docs: DataFrame,
     text: str = "text",
@@ -100,32 +118,30 @@ def repetition(
 ) -> DataFrame:
     """``docs`` without ``text``, with a struct ``into`` of the measures, ``base_failed`` and ``kept``."""
     small_batches(docs.sparkSession)
-    widths = tuple(sorted(window_limits))
+    widths, fields = tuple(sorted(window_limits)), _fields(window_limits)
     rest = [c for c in docs.columns if c != text]
-    fields = [*_MEASURES, *(f"dup_chars_{w}" for w in widths)]
     # other columns travel beside the text as one struct, so their names can't clash
     side = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.struct(F.lit(1).alias("none"))
     slim = docs.select(side.alias("side"), F.col(f"`{text}`").alias("text"))
     schema = slim.select("side").schema.add("m", StructType([StructField(f, LongType()) for f in fields]))
 
     def run(batches):
-        kind = pa.struct([(f, pa.int64()) for f in fields])
         for batch in batches:
-            found = [dict(zip(fields, measure(t.as_py(), widths), strict=True)) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("side"), pa.array(found, type=kind)], names=["side", "m"])
+            yield pa.RecordBatch.from_arrays([batch.column("side"), _measured(batch.column("text"), fields, widths)], names=["side", "m"])
 
     out = slim.mapInArrow(run, schema)
-    base = (F.col("m.n_words") < MIN_WORDS) | (100 * F.col("m.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("m.n_words"))
-    clean = F.col("m.dup_line_chars") <= F.lit(line_limit) * F.col("m.word_chars")
-    for w in widths:
-        clean &= F.col(f"m.dup_chars_{w}") <= F.lit(window_limits[w]) * F.col("m.word_chars")
-    verdict = F.struct("m.*", base.alias("base_failed"), (~base & clean).alias("kept"))
+    base, kept = _verdict(F.col("m"), window_limits, line_limit)
+    verdict = F.struct("m.*", base.alias("base_failed"), kept.alias("kept"))
     return out.select(*[F.col("side").getField(c).alias(c) for c in rest], verdict.alias(into))
 
 
-def keep_clean(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows that pass, with all their columns; the text is measured where it lies, not moved."""
-    names = docs.columns
-    copy = docs.withColumn("__measured", F.col(f"`{text}`"))
-    measured = repetition(copy, "__measured", into="__quality")
-    return measured.where("__quality.kept").select(*[F.col(f"`{c}`") for c in names])
+def keep_clean(docs: DataFrame, text: str = "text", window_limits: dict[int, float] = WINDOW_LIMITS, line_limit: float = LINE_LIMIT) -> DataFrame:
+    """The rows that pass, with all their columns. Only the text goes to Python, and only its verdict comes back."""
+    small_batches(docs.sparkSession)
+    widths, fields = tuple(sorted(window_limits)), _fields(window_limits)
+
+    def run(texts: pa.Array) -> pa.Array:
+        return _measured(texts, fields, widths)
+
+    measures = F.arrow_udf(run, StructType([StructField(f, LongType()) for f in fields]))
+    return docs.where(_verdict(measures(F.col(f"`{text}`")), window_limits, line_limit)[1])
