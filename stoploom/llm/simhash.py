@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, same, small_batches, text_bytes
+from .common import keep, same, small_batches, text_bytes, unused
 
 BITS = 64
 SHINGLE_WORDS = 4
@@ -306,7 +306,9 @@ def neighbour_links(fps: DataFrame) -> DataFrame:
                 fps = np.repeat(some, len(flips)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(points), pa.array(fps)], names=["point", "fp"])
 
-    around = fps.mapInArrow(run, "point bigint, fp bigint").groupBy("point")
+    # 65 rows a fingerprint: dealt to all tasks first, as the few files they come from would be few tasks
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    around = fps.repartition(tasks, "fp").mapInArrow(run, "point bigint, fp bigint").groupBy("point")
     return around.agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a < b").select("a", "b").distinct()
 
 
@@ -352,17 +354,6 @@ def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DIS
     return _grouped(docs, words, distance).select("doc_id", digits, "component_id")
 
 
-def keep_first(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` that hold their group's smallest doc_id, with all their columns.
-
-    Rows that repeat that doc_id belong to one document and stay together; a group in which no row
-    has an id stays whole."""
-    first = _grouped(docs, words, distance).where(same(F.col("doc_id"), F.col("component_id")))
-    first = first.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    match = same(docs["doc_id"], F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash"))
-    return docs.join(first, match, "left_semi")
-
-
 def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
     """Exactly one row of each group, with all its columns: the smallest doc_id (null after all others),
     then the smallest hash of the text, then the smallest other columns as text.
@@ -371,11 +362,12 @@ def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DISTAN
     aggregation that reduces them before the exchange."""
     found = _grouped(docs, words, distance).groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n")).alias("x")
-    first = found.groupBy("root").agg(least).select(F.col("x.doc_id").alias("__id"), F.col("x.text_hash").alias("__hash"), F.col("x.n").alias("__rows"))
+    one, text, many, row = unused(docs, "id", "hash", "rows", "row")
+    first = found.groupBy("root").agg(least).select(F.col("x.doc_id").alias(one), F.col("x.text_hash").alias(text), F.col("x.n").alias(many))
     first = keep(first, "first")
-    match = same(docs["doc_id"], F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash"))
-    once = docs.join(first.where("__rows = 1"), match, "left_semi")
+    match = same(docs["doc_id"], F.col(one)) & (F.xxhash64(docs["text"]) == F.col(text))
+    once = docs.join(first.where(F.col(many) == 1), match, "left_semi")
     names = [F.col(f"`{c}`") for c in docs.columns]
     order = F.struct(F.lit("").alias("none"), *[F.col(f"`{c}`").cast("string") for c in docs.columns if c not in ("doc_id", "text")])
-    tied = docs.join(first.where("__rows > 1"), match).groupBy("__id", "__hash").agg(F.min_by(F.struct(*names), order).alias("__row"))
-    return once.union(tied.select("__row.*"))
+    tied = docs.join(first.where(F.col(many) > 1), match).groupBy(one, text).agg(F.min_by(F.struct(*names), order).alias(row))
+    return once.union(tied.select(f"{row}.*"))

@@ -72,15 +72,15 @@ def test_repeated_rows_null_ids_and_other_columns(docs):
     texts = [(None, "p q r s t", "a"), (7, "p q r s t", "a"), (7, "p q r s t", "b"), (None, "alone here", None), (3, "other words", "a")]
     df = docs(texts).withColumn("fp", F.lit(1)).withColumn("component_id", F.lit("x")).withColumn("root", F.lit(None))
     assert found(simhash.near_groups(df)) == plain_groups([(i, t) for i, t, _ in texts])
-    kept = simhash.keep_first(df)
+    kept = simhash.keep_one(df)
     assert kept.columns == df.columns
-    assert sorted((r["doc_id"], r["source"]) for r in kept.collect() if r["doc_id"]) == [(3, "a"), (7, "a"), (7, "b")]
+    assert sorted((r["doc_id"], r["source"]) for r in kept.collect() if r["doc_id"]) == [(3, "a"), (7, "a")]
     assert [r["text"] for r in kept.collect() if r["doc_id"] is None] == ["alone here"]
 
 
 def test_empty_table(docs):
     assert simhash.near_groups(docs([])).collect() == []
-    assert simhash.keep_first(docs([])).collect() == []
+    assert simhash.keep_one(docs([])).collect() == []
 
 
 def test_links_at_every_distance_are_found(spark):
