@@ -37,7 +37,7 @@ def test_stages_equal_plain_versions(spark, docs, tables):
     kept = [r for r in rows if plain_quality(r[1])[-1]]
     groups = {d: c for d, _, c in plain_groups([(d, t) for d, t, _ in kept])}
     first = [r for r in kept if groups[r[0]] == r[0]]
-    cut = [(d, k[3].decode(errors="ignore"), s) for (d, _, s), k in zip(first, plain_suffixes([t for _, t, _ in first]), strict=True)]
+    cut = [(d, k[3].decode(errors="ignore"), s) for (d, _, s), k in zip(first, plain_suffixes([t for _, t, _ in first], corpus_pipeline.PASSAGE), strict=True)]
     mixed = [r for r, n in zip(cut, plain_mixing.copies(cut), strict=True) for _ in range(n)]
     library = tokenizers.Tokenizer.from_file(PATH)
     want = sorted((d, *plain_bpe(library, t)) for d, t, _ in mixed)
@@ -60,8 +60,20 @@ def test_one_row_of_each_group_stays(spark, docs, tables):
     assert {1, 2, 3, 4, None} <= set(encoded)
 
 
+def test_passages_of_51_words_go_and_clean_texts_stay(spark, docs):
+    rng = random.Random(2)
+    text = lambda n: " ".join("".join(rng.choices("abcdefghijklm", k=rng.choice([2, 3, 4, 5, 7, 8]))) for _ in range(n))
+    passages, clean = [text(51) for _ in range(6)], [text(120) for _ in range(10)]
+    rows = [f"{text(80)} {p} {text(60)}" for p in passages for _ in range(3)]
+    out = {r["doc_id"]: r["text"] for r in corpus_pipeline.suffix_array_dedup(spark, docs(rows + clean), "").collect()}
+    for k in range(len(rows)):
+        left = set(zip(*[passages[k // 3].split()[i:] for i in range(8)], strict=False)) & set(zip(*[out[k].split()[i:] for i in range(8)], strict=False))
+        assert not left and len(out[k].split()) >= 130
+    assert [out[len(rows) + k] for k in range(10)] == clean
+
+
 def test_stages_keep_columns_of_any_name(spark, docs):
-    names = ["quality", "root", "fp", "data", "side", "copies", "shards", "start", "n", "__null_"]
+    names = ["quality", "root", "fp", "data", "side", "copies", "shards", "start", "n", "absent", "id", "hash", "rows", "row", "__null", "__id", "__hash", "__rows", "__measured", "__quality"]
     df = docs(sample(6)).select("*", *[F.lit(k).alias(c) for k, c in enumerate(names)])
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, df, "")
