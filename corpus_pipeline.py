@@ -21,6 +21,9 @@ from stoploom.llm import bpe, mixing, quality, simhash, suffixes
 from stoploom.llm.common import keep, table
 from stoploom.llm.queries import VOCABULARY
 
+#: Bytes of a passage that goes if it stands twice: 51 words of three letters and a blank.
+PASSAGE = 200
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -33,7 +36,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffixes.strip(docs)
+    return suffixes.strip(docs, PASSAGE)
 
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
