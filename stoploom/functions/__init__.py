@@ -8,7 +8,7 @@ from stoploom.functions.clock import (
     snapshot_day,
 )
 from stoploom.functions.numbers import as_double, grid_cell, truncated_ratio
-from stoploom.functions.text import dashed, key_text, prefix, trim_all, trimmed
+from stoploom.functions.text import dashed, field_count, key_text, prefix, trim_all, trimmed
 
 __all__ = [
     "as_double",
@@ -16,6 +16,7 @@ __all__ = [
     "dashed",
     "day_type",
     "epoch_seconds",
+    "field_count",
     "grid_cell",
     "iso_weekday",
     "key_text",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -38,3 +40,10 @@ def prefix(value: ColumnOrName, length: int) -> Column:
 def dashed(value: ColumnOrName) -> Column:
     """Blanks become dashes."""
     return F.translate(as_column(value), " ", "-")
+
+
+def field_count(line: ColumnOrName, sep: str = ",") -> Column:
+    """How many fields a CSV line has; separators between quotes do not count. NULL for NULL."""
+    quoted = rf'(^|{re.escape(sep)})"(?:[^"\\]|\\.|"")*"'
+    bare = F.regexp_replace(as_column(line), quoted, "$1")
+    return ((F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))) / len(sep)).cast("int") + 1

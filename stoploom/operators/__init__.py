@@ -25,9 +25,11 @@ from stoploom.operators.quality import (
     split_rejects,
     tag_rejects,
 )
+from stoploom.operators.typing import common_types, with_types
 
 __all__ = [
     "avg_by_day_type",
+    "common_types",
     "count_rejects",
     "daily_sum",
     "distinct_per_group",
@@ -54,4 +56,5 @@ __all__ = [
     "switch_to_prefix",
     "tag_rejects",
     "trips_from_headway",
+    "with_types",
 ]

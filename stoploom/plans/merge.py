@@ -26,7 +26,7 @@ def merge_schedule(
     """Write ``<target>/<table>`` for every table that has data; returns their names.
 
     ``parquet`` folders are partitioned by feed and snapshot date, ``csv`` ones are plain
-    headered files with ``feed_id, subdir`` first. No intermediate files are written.
+    headered files with ``feed_id, subdir`` first. The list of files merged stays as ``<target>/_manifest``.
     With ``only_touched`` folders of feeds and dates outside of this merge stay as they are
     (``parquet`` only), so that a new day can be added to an archive.
     """
@@ -34,7 +34,7 @@ def merge_schedule(
         raise ValueError("only_touched needs the partitioned format, parquet")
     if fmt not in ("parquet", "csv"):
         raise ValueError(f"fmt must be 'parquet' or 'csv', not {fmt!r}")
-    merged = merge_all(spark, root, tables, feeds, first_day, last_day)
+    merged = merge_all(spark, root, tables, feeds, first_day, last_day, store=f"{target.rstrip('/')}/_manifest")
     for table, df in merged.items():
         if fmt == "parquet":
             write_partitioned(df, f"{target}/{table}", only_touched=only_touched)

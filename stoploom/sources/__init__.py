@@ -4,8 +4,8 @@ from stoploom.sources.snapshots import (
     SnapshotFile,
     column_names,
     discover,
+    manifest,
     merge_all,
-    merge_files,
     merge_snapshots,
 )
 from stoploom.sources.tables import read_csv_table, read_table
@@ -14,8 +14,8 @@ __all__ = [
     "SnapshotFile",
     "column_names",
     "discover",
+    "manifest",
     "merge_all",
-    "merge_files",
     "merge_snapshots",
     "read_csv_table",
     "read_table",

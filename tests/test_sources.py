@@ -3,11 +3,14 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from stoploom.functions import field_count
+from stoploom.operators import common_types, with_types
 from stoploom.plans import merge_schedule
-from stoploom.sinks import publish, save_table_if_db, write_csv, write_partitioned
+from stoploom.sinks import publish, save_table_if_db, write_csv, write_partitioned, writers
 from stoploom.sources import (
     column_names,
     discover,
+    manifest,
     merge_all,
     merge_snapshots,
     read_csv_table,
@@ -279,3 +282,128 @@ def test_reports_are_published_whole(spark, tmp_path, capsys):
         assert capsys.readouterr().out == ""
     finally:
         spark.sql("DROP DATABASE loom_test CASCADE")
+
+
+def _many_files(root, days=40, feeds=("north west", "south")):
+    """Three headers that change over time."""
+    heads = ["stop_id,stop_name", "stop_name,stop_id", "zone,stop_id,stop_name"]
+    for f, feed in enumerate(feeds):
+        for d in range(days):
+            folder = root / feed / f"2024-{10 + d // 28}-{d % 28 + 1:02}"
+            folder.mkdir(parents=True)
+            names = heads[(d // 9 + f) % 3].split(",")
+            value = {"stop_id": str(d), "stop_name": f"{feed} {d}", "zone": "z"}
+            (folder / "stops.txt").write_text(",".join(names) + "\n" + ",".join(value[n] for n in names) + "\n")
+
+
+def test_no_list_of_files_in_the_plan(spark, rows, tmp_path):
+    _many_files(tmp_path)
+    merged = merge_snapshots(spark, str(tmp_path), "stops")
+    plan = merged._jdf.queryExecution().toString()
+    assert "stops.txt" not in plan.replace("{stops.txt}", "") and plan.count("2024-") < 30
+    assert plan.split("== Physical Plan ==")[1].count("FileScan csv") == 1
+    found = rows(merged.selectExpr("feed_id", "CAST(stop_id AS INT) AS d", "stop_name", "zone IS NULL AS none").filter("none"))
+    want = [(f, d, f"{f} {d}", True) for k, f in enumerate(("north west", "south")) for d in range(40) if (d // 9 + k) % 3 < 2]
+    assert found == sorted(want, key=lambda r: [(True, str(v)) for v in r])
+    assert merged.count() == 80
+
+
+def test_the_manifest_is_a_table(spark, rows, tree, tmp_path):
+    files = manifest(spark, tree, ["stops", "trips"], FEEDS, **RANGE)
+    assert rows(files.select("table", "feed").distinct()) == [("stops", "bus {x}+1"), ("stops", "rail"), ("trips", "bus {x}+1")]
+    kept = str(tmp_path / "kept")
+    merged = merge_snapshots(spark, tree, "stops", FEEDS, **RANGE, store=kept)
+    assert rows(merged.drop("snapshot_date")) == STOPS
+    assert spark.read.parquet(kept).count() == 6
+
+
+def test_files_of_other_days_and_feeds_are_not_opened(spark, tmp_path):
+    """Those would never be read to their end."""
+    for feed, day in (("a", "2024-10-01"), ("a", "2024-12-01"), ("b", "2024-10-01")):
+        folder = tmp_path / feed / day
+        folder.mkdir(parents=True)
+        (folder / "stops.txt").write_text("stop_id\n1\n")
+        if (feed, day) != ("a", "2024-10-01"):
+            os.truncate(folder / "stops.txt", 1 << 40)
+    merged = merge_snapshots(spark, str(tmp_path), "stops", ["a"], "2024-10-01", "2024-10-31")
+    assert [tuple(r) for r in merged.select("feed_id", "stop_id").collect()] == [("a", "1")]
+
+
+def test_short_and_long_rows_of_every_header(spark, rows, tree):
+    merged = merge_snapshots(spark, tree, "stops", FEEDS, **RANGE, faults="fault")
+    assert rows(merged.select("stop_id", "fault").filter("fault IS NOT NULL")) == [("5", "short_row")]
+    assert rows(merged.drop("snapshot_date", "fault")) == STOPS
+
+
+def test_one_type_for_all_headers(spark, rows, tmp_path):
+    for k, text in enumerate(["id,n,when,flag,name\n1,2,2024-10-01,true,a\n", "n,id,name\n2.5,30000000000,7\n", "flag,when,id,none\nfalse,2024-10-02 10:30:00,3,\n"]):
+        folder = tmp_path / "f" / f"2024-10-0{k + 1}"
+        folder.mkdir(parents=True)
+        (folder / "stops.txt").write_text(text)
+    merged = merge_snapshots(spark, str(tmp_path), "stops", infer=True)
+    assert dict(merged.dtypes[3:]) == {"id": "bigint", "n": "double", "when": "timestamp_ntz", "flag": "boolean", "name": "string", "none": "string"}
+    assert rows(merged.select("id", "n", "name")) == [(1, 2.0, "a"), (3, None, None), (30000000000, 2.5, "7")]
+
+
+def test_common_types(spark):
+    values = {"int": ["1", " -2 ", None], "bigint": ["1", "3000000000"], "double": ["1", ".5", "1e3"], "string": ["1", "x"], "date": ["2024-02-29"], "boolean": ["TRUE", "false"]}
+    frames = {k: spark.createDataFrame([(v,) for v in vs], "v string") for k, vs in values.items()}
+    assert {k: common_types(df, ["v"])["v"] for k, df in frames.items()} == {k: k for k in values}
+    for odd in ("1d", "NaN", "2024-02-30", "1,5", ""):
+        assert common_types(spark.createDataFrame([(odd,)], "v string"), ["v"]) == {"v": "string"}
+    empty = spark.createDataFrame([(None,)], "v string")
+    assert with_types(empty, ["v"]).dtypes == [("v", "string")] and common_types(empty, []) == {}
+
+
+def test_field_counts(spark):
+    lines = {"a": 1, "": 1, "a,b": 2, ",,": 3, '"a,b",c': 2, 'a,"x ""y, z"",",': 3, r'"a\", b",c': 2, 'in "a, b" out': 2}
+    df = spark.createDataFrame(list(lines.items()), "line string, n int")
+    assert [(r["line"], r["found"]) for r in df.select("line", field_count("line").alias("found"), "n").collect() if r["found"] != lines[r["line"]]] == []
+    assert spark.sql("SELECT CAST(NULL AS STRING) AS line").select(field_count("line")).first()[0] is None
+
+
+def test_short_and_long_lines(spark, rows, tmp_path):
+    (tmp_path / "a.csv").write_text('a;b;c\n1;2;3\n1;2\n1\n1;2;3;4\n"x;y";2;3\n1;;\n')
+    table = read_csv_table(spark, str(tmp_path), sep=";", faults="fault", infer=True)
+    assert table.dtypes == [("a", "string"), ("b", "int"), ("c", "int"), ("fault", "string")]
+    assert [r["fault"] for r in table.collect()] == [None, "short_row", "short_row", "long_row", None, None]
+    assert table.select("fault").filter("fault IS NOT NULL").count() == 3
+
+
+def test_one_file_is_joined_from_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "_COPIED", 7)
+    df = spark.range(500, numPartitions=6).selectExpr("id", "concat('x, \"', id, '\"') AS `a,b`", "nullif(id, 3) AS n").sort("id")
+    target = tmp_path / "one"
+    write_csv(df, str(target), one_file=True)
+    write_csv(df, str(target), one_file=True)
+    assert sorted(p.name for p in target.iterdir() if p.suffix != ".crc") == ["_SUCCESS", "part-00000.csv"]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["one"]
+    back = read_csv_table(spark, str(target), infer=True)
+    assert [tuple(r) for r in back.collect()] == [tuple(r) for r in df.collect()] and back.columns == df.columns
+    with pytest.raises(Exception, match="no row"):
+        write_csv(df.withColumn("id", F.raise_error(F.lit("no row")).cast("long")), str(target), one_file=True)
+    assert read_csv_table(spark, str(target)).count() == 500 and len(list(tmp_path.iterdir())) == 1
+    write_csv(df.limit(0), str(target), one_file=True)
+    assert (target / "part-00000.csv").read_text() == 'id,"a,b",n\n'
+
+
+def test_a_failed_write_keeps_the_old_table(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE loom_swap LOCATION '{tmp_path / 'db'}'")
+    try:
+        assert save_table_if_db(spark.range(5), "loom_swap", "t")
+        broken = spark.range(9).withColumn("id", F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("broken")).cast("long")))
+        with pytest.raises(Exception, match="broken"):
+            save_table_if_db(broken, "loom_swap", "t")
+        assert spark.table("loom_swap.t").count() == 5
+        save_table_if_db(spark.table("loom_swap.t").limit(3), "loom_swap", "t")  # from its own rows
+        assert spark.table("loom_swap.t").count() == 3
+        assert [t.name for t in spark.catalog.listTables("loom_swap")] == ["t"]
+    finally:
+        spark.sql("DROP DATABASE loom_swap CASCADE")
+
+
+def test_console_shows_first_rows_and_counts_all(spark, capsys, tmp_path):
+    writers.print_rows(spark.range(30), most=4)
+    assert capsys.readouterr().out.splitlines() == ["id", "0", "1", "2", "3", "(4 of 30 rows; name a database or an output path for all of them)"]
+    publish(spark.range(30, numPartitions=3), "t", path=str(tmp_path / "many"), one_file=False)
+    assert len(list((tmp_path / "many").glob("part-*.csv"))) == 3
