@@ -9,7 +9,7 @@
     quality        DATASET          counts of rejected service windows
     rejected       DATASET          rejected service windows
 
-Reports go to ``--database``, to ``--out`` or, without either, to the console.
+Reports go to ``--database``, to ``--out`` or, without either, to the console (its first rows).
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ def build_parser() -> argparse.ArgumentParser:
         job.add_argument("dataset")
         job.add_argument("--format", choices=("parquet", "csv"), default="parquet")
         job.add_argument("--database", help="save there; it must exist unless --out is given")
-        job.add_argument("--out", help="folder for the result as one CSV file")
+        job.add_argument("--out", help="folder for the result as CSV: one file, or a file a task for intervals and rejected")
         return job
 
     report("routes")
@@ -110,7 +110,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         )
     else:
         result, name = _report(spark, args)
-        publish(result, name, args.database, args.out)
+        publish(result, name, args.database, args.out, one_file=args.job not in ("intervals", "rejected"))
 
 
 if __name__ == "__main__":
