@@ -8,10 +8,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
+from stoploom.functions.clock import epoch_seconds
 from stoploom.functions.text import ColumnOrName, as_column
 
 ROWS_PER_TASK = 5_000_000
+#: Pieces that a large key is cut into when its split points are found by a sketch.
+PIECES = 256
 
 
 def lag_per_group(
@@ -27,22 +31,30 @@ def lag_per_group(
 
     ``order`` must be a total order within a key for repeatable rows.
 
-    Without ``slice_by`` each key is sorted by one task; use that for keys of bounded size.
-    ``slice_by`` is an expression that never decreases along ``order`` (the hour of a time,
-    say). With it, keys of more than ``rows_per_task`` rows are cut at its changes: every
-    slice is sorted on its own and gets one carried row, the last one of the slice before.
-    The result is the same as without; where a cut key breaks the rule, the job fails. Choose
-    ``slice_by`` so fine that one slice of the largest key is a fair share for a task.
+    Keys of more than ``rows_per_task`` rows are cut: every slice is sorted on its own and gets one
+    carried row, the last one of the slice before. The result is that of a plain window.
+
+    ``slice_by`` says where to cut: an expression that never decreases along ``order`` (the hour of a time,
+    say); where a cut key breaks the rule, the job fails. Choose it so fine that one slice of the largest key
+    is a fair share for a task. Without it, large keys are found by their counts and cut at ``PIECES`` quantiles
+    of the first column of ``order``, which a mergeable sketch over their rows gives; rows that share that column's
+    value stay together. That takes a number, a date or a time as first column; by any other, and where
+    ``order`` names a direction, each key is sorted by one task.
     """
-    if slice_by is None:
+    falling = any(re.search(r"\b(ASC|DESC)\b", str(c)) for c in order if isinstance(c, Column))
+    if slice_by is not None and falling:
+        raise ValueError("with slice_by, order takes ascending columns; negate what should fall")
+    if slice_by is not None:
+        base = df.withColumn("_slice", slice_by)
+    else:
+        base = None if falling else _with_sampled_slices(df, keys, order[0], rows_per_task)
+    if base is None:
         window = Window.partitionBy(*keys).orderBy(*[as_column(c) for c in order])
         return df.withColumn(out, F.lag(value).over(window))
-    if any(re.search(r"\b(ASC|DESC)\b", str(c)) for c in order if isinstance(c, Column)):
-        raise ValueError("with slice_by, order takes ascending columns; negate what should fall")
 
     computed = {f"_o{i}": c for i, c in enumerate(order) if isinstance(c, Column)}
     ranks = [f"_o{i}" if isinstance(c, Column) else c for i, c in enumerate(order)]
-    base = df.withColumns({**computed, "_slice": slice_by})
+    base = base.withColumns(computed) if computed else base
     # One row for each key and slice; partial counts leave the map tasks.
     slices = base.groupBy(*keys, "_slice").agg(
         F.count(F.lit(1)).alias("_n"),
@@ -83,6 +95,36 @@ def lag_per_group(
     )
 
 
+def _with_sampled_slices(df: DataFrame, keys: Sequence[str], first: ColumnOrName, rows_per_task: int) -> DataFrame | None:
+    """``df`` with ``_slice``: how many split points of its key a row has reached, 0 in keys of few rows.
+
+    None if ``first`` is no number, date or time."""
+    kind = df.select(as_column(first).alias("x")).schema["x"].dataType
+    if isinstance(kind, TimestampType):
+        number = F.unix_micros(as_column(first))
+    elif isinstance(kind, TimestampNTZType):
+        number = epoch_seconds(first)
+    elif isinstance(kind, DateType):
+        number = F.unix_date(as_column(first))
+    elif isinstance(kind, NumericType):
+        number = as_column(first)
+    else:
+        return None
+    number = number.cast("double")
+    own = [F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]
+    same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
+    large = df.groupBy(*own).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > rows_per_task)
+    shares = F.array(*[F.lit(i / PIECES) for i in range(1, PIECES)])
+    # a sketch a task and key, for large keys only: there are at most rows / rows_per_task of them
+    points = (
+        df.join(large, same_key, "left_semi")
+        .groupBy(*own)
+        .agg(F.percentile_approx(number, shares, 20 * PIECES).alias("_points"))
+    )
+    reached = F.size(F.filter("_points", lambda p: p <= number))
+    return df.join(points, same_key, "left").select(*df.columns, F.when(F.col("_points").isNull(), 0).otherwise(reached).alias("_slice"))
+
+
 def gaps(df: DataFrame, keys: Sequence[str], time: str, label: str | None = None) -> DataFrame:
     """Positive gaps between consecutive times of a key: ``gap_seconds`` per later time.
 

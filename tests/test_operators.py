@@ -152,6 +152,29 @@ def test_lag_ordered_by_an_expression(spark, rows):
         assert rows(cut) == rows(plain)
 
 
+@pytest.mark.parametrize("kind", ["id", "CAST(id AS DOUBLE) / 3", "timestamp_seconds(id * 1800)", "CAST(timestamp_seconds(id * 1800) AS TIMESTAMP_NTZ)", "date_add(DATE'2024-01-01', CAST(id / 40 AS INT))"])
+def test_large_keys_are_cut_at_sampled_points(spark, rows, kind):
+    """A key of a third of the rows, null keys and times, ties; cut into tasks, equal to the plain window."""
+    key = "CASE WHEN id % 3 = 0 THEN 1 WHEN id % 101 = 0 THEN NULL ELSE id % 50 END AS k"
+    df = spark.range(6000).selectExpr(key, f"nullif({kind}, {kind.replace('id', '5')}) AS t", "id", "id * 2 AS v").repartition(3)
+    want = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t", "id")))
+    got = lag_per_group(df, ["k"], ["t", "id"], "v", "p", rows_per_task=400)
+    assert got.columns == want.columns and rows(got) == rows(want)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spread = got.filter("k = 1").groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(spread) > 1 and max(r["count"] for r in spread) < 2000
+
+
+def test_lag_by_texts_and_directions_is_a_plain_window(spark, rows):
+    df = spark.range(60).selectExpr("id % 2 AS k", "CAST(id AS STRING) AS t", "id AS v")
+    for order in (["t"], [F.desc("v")]):
+        want = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy(*order)))
+        assert rows(lag_per_group(df, ["k"], order, "v", "p", rows_per_task=3)) == rows(want)
+
+
 def test_gaps_drop_ties_and_keep_null_keys(spark, rows):
     minutes = [("r", 300), ("r", 300), ("r", 320), ("r", 360), (None, 10), (None, 25), ("s", 5), ("r", None)]
     df = spark.createDataFrame([(k, None if m is None else m * 60) for k, m in minutes], "k string, t long")
