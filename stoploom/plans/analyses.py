@@ -79,10 +79,11 @@ def first_departures(
     departure time drop out.
     """
     stamp = ["subdir"] if by_snapshot else []
+    # grouped by the key of the join, so that one exchange serves both; partial sets leave the map tasks
     served = (
-        trips.filter(F.col("feed_id") == feed)
-        .select("route_id", "trip_id", "direction_id", *stamp)
-        .distinct()
+        trips.filter((F.col("feed_id") == feed) & F.col("trip_id").isNotNull())
+        .groupBy("trip_id", *stamp)
+        .agg(F.collect_set(F.struct("route_id", "direction_id")).alias("served"))
     )
     first = (
         stop_times.filter(F.col("feed_id") == feed)
@@ -91,7 +92,7 @@ def first_departures(
         .agg(F.min("departure").alias("departure"))
         .filter(F.col("departure").isNotNull())
     )
-    return served.join(first, ["trip_id", *stamp])
+    return served.join(first, ["trip_id", *stamp]).select("trip_id", *stamp, F.inline("served"), "departure")
 
 
 def departure_intervals(
@@ -148,10 +149,16 @@ def waiting_time(
     )
 
 
-def service_rules() -> dict[str, Column]:
-    """Conditions under which a row of :func:`service_windows` is rejected."""
+#: The column of :func:`stoploom.sources.read_csv_table` and ``merge_all`` that the analyses know: lines with too
+#: few or too many fields.
+ROW_FAULT = "row_fault"
+
+
+def service_rules(faults: bool = False) -> dict[str, Column]:
+    """Conditions under which a row of :func:`service_windows` is rejected; with ``faults`` short lines come first."""
     headway = F.col("headway")
-    return {
+    short = {"short_row": F.col(ROW_FAULT) == "short_row"} if faults else {}
+    return short | {
         "bad_date": F.col("snapshot_day").isNull(),
         "bad_time": F.col("duration").isNull(),
         "bad_headway": headway.isNull() | F.isnan(headway),
@@ -159,9 +166,10 @@ def service_rules() -> dict[str, Column]:
     }
 
 
-def service_notes() -> dict[str, Column]:
-    """Conditions that are counted but reject nothing."""
-    return {"negative_duration": F.col("duration") < 0}
+def service_notes(faults: bool = False) -> dict[str, Column]:
+    """Conditions that are counted but reject nothing: fields behind the last one are not read."""
+    long = {"long_row": F.col(ROW_FAULT) == "long_row"} if faults else {}
+    return long | {"negative_duration": F.col("duration") < 0}
 
 
 def service_windows(
@@ -178,6 +186,7 @@ def service_windows(
         _day_of(frequencies).alias("snapshot_day"),
         (clock_seconds("end_time") - clock_seconds("start_time")).alias("duration"),
         as_double("headway_secs").alias("headway"),
+        *([ROW_FAULT] if ROW_FAULT in frequencies.columns else []),
     )
     by_line = switch_to_prefix(typed, "operator_name", RAIL_FEED, "trip_id", 3).drop("trip_id")
     return trips_from_headway(relabel(by_line, "operator_name", names), "duration", "headway")
@@ -195,10 +204,14 @@ def average_trips(
     Rows that cannot be read are left out; an ``observation`` receives their counts.
     """
     windows = service_windows(frequencies, names)
+    faults = ROW_FAULT in windows.columns
     if observation is not None:
-        windows = observe_rejects(windows, service_rules(), observation, service_notes())
+        windows = observe_rejects(windows, service_rules(faults), observation, service_notes(faults))
     # A rejected row has no day or no number of trips and so adds nothing. Filtering it
-    # here would only make Spark parse the texts twice.
+    # here would only make Spark parse the texts twice. Short lines may have both and are told not to count.
+    if faults:
+        whole = ~F.col(ROW_FAULT).eqNullSafe("short_row")
+        windows = windows.withColumn("num_trips", F.when(whole, F.col("num_trips")))
     return avg_by_day_type(windows, "operator_name", "snapshot_day", "num_trips", rounding, ordered=ordered)
 
 
@@ -215,9 +228,12 @@ def average_trips_wide(
 
 def service_quality(frequencies: DataFrame) -> DataFrame:
     """One row of counts: rows, rejected rows by reason, negative windows, accepted rows."""
-    return count_rejects(service_windows(frequencies), service_rules(), service_notes())
+    windows = service_windows(frequencies)
+    faults = ROW_FAULT in windows.columns
+    return count_rejects(windows, service_rules(faults), service_notes(faults))
 
 
 def rejected_service(frequencies: DataFrame) -> DataFrame:
     """The rows :func:`average_trips` leaves out, with their ``reject_reason``."""
-    return split_rejects(service_windows(frequencies), service_rules())[1]
+    windows = service_windows(frequencies)
+    return split_rejects(windows, service_rules(ROW_FAULT in windows.columns))[1]

@@ -1,8 +1,8 @@
 import pytest
 from pyspark.sql import Observation
 
-from stoploom.plans import merge_schedule
 from stoploom import jobs, plans
+from stoploom.plans import analyses, merge_schedule
 from stoploom.plans.analyses import service_windows
 
 
@@ -239,3 +239,39 @@ def test_merge_from_the_command_line(spark, tmp_path):
     jobs.main(["merge", str(tmp_path / "raw"), str(tmp_path / "out")])
     stored = spark.read.parquet(str(tmp_path / "out" / "agency"))
     assert [r.feed_id for r in stored.collect()] == ["KTMB"]
+
+
+def test_trips_cross_one_exchange_for_set_and_join(spark):
+    """Both sides of the join are grouped by its key; no exchange stands between a grouping and the join."""
+    trips = spark.createDataFrame([("KTMB", "d", "r", f"t{i % 7}", "0") for i in range(20)], "feed_id string, subdir string, route_id string, trip_id string, direction_id string")
+    times = spark.createDataFrame([("KTMB", "d", f"t{i % 7}", f"{i}:00:00") for i in range(20)], "feed_id string, subdir string, trip_id string, departure_time string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for by_snapshot in (False, True):
+            plan = analyses.first_departures(trips, times, "KTMB", by_snapshot)._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_a_trip_under_two_routes_counts_for_both(spark, rows):
+    trips = spark.createDataFrame([("KTMB", "d", "r", "t", "0"), ("KTMB", "d", "s", "t", None), ("KTMB", "e", "r", "t", "0"), ("KTMB", "d", "r", None, "0")], "feed_id string, subdir string, route_id string, trip_id string, direction_id string")
+    times = spark.createDataFrame([("KTMB", "d", "t", "8:00:00"), ("KTMB", "e", "t", "7:30:00"), ("KTMB", "d", None, "1:00:00")], "feed_id string, subdir string, trip_id string, departure_time string")
+    found = analyses.first_departures(trips, times, "KTMB")
+    assert rows(found.select("route_id", "direction_id", "departure")) == [("r", "0", 27000), ("s", None, 27000)]
+    found = analyses.first_departures(trips, times, "KTMB", by_snapshot=True)
+    assert rows(found.select("subdir", "route_id", "departure")) == [("d", "r", 28800), ("d", "s", 28800), ("e", "r", 27000)]
+
+
+def test_short_lines_are_rejected_and_counted(spark, rows):
+    windows = [("a", "2024-10-01", "t1", "600", "5:00:00", "6:00:00", None), ("a", "2024-10-01", "t2", "600", "5:00:00", "7:00:00", "long_row"), ("a", "2024-10-01", "t3", "600", "5:00:00", "8:00:00", "short_row"), ("a", "no", "t4", None, None, None, "short_row")]
+    names = "feed_id string, subdir string, trip_id string, headway_secs string, start_time string, end_time string, row_fault string"
+    table = spark.createDataFrame(windows, names)
+    counts = plans.service_quality(table).first().asDict()
+    assert {k: counts[k] for k in ("rows", "short_row", "long_row", "bad_date", "accepted")} == {"rows": 4, "short_row": 2, "long_row": 1, "bad_date": 0, "accepted": 2}
+    assert rows(plans.average_trips(table).select("avg_daily_trips")) == [(18,)]
+    assert {r["reject_reason"] for r in plans.rejected_service(table).collect()} == {"short_row"}
+    whole = table.filter("row_fault IS NULL").drop("row_fault")
+    assert "short_row" not in plans.service_quality(whole).columns
