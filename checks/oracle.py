@@ -71,6 +71,11 @@ _SERVICE = """
   FROM orders
 """
 
+#: The same with the last character of the trip id.
+_SERVICE_ENDS = _SERVICE.replace(
+    "FROM orders", ", CASE WHEN o_orderstatus IN ('O', 'F') THEN right(CAST(o_orderkey AS VARCHAR), 1) ELSE 'B' END AS cut FROM orders"
+)
+
 _REASON = """
   CASE WHEN day IS NULL THEN 'bad_date' WHEN duration IS NULL THEN 'bad_time'
        WHEN headway IS NULL THEN 'bad_headway' WHEN headway = 0 THEN 'zero_headway' END
@@ -141,6 +146,7 @@ ORACLE: dict[str, str] = {
     """,
     "lag_per_group": _LAG,
     "lag_per_group_cut": _LAG,
+    "lag_per_group_sampled": _LAG,
     "headway_stats": f"""
         WITH trips AS (
           SELECT c_nationkey AS route, o_orderstatus AS direction, o_orderkey AS trip
@@ -249,6 +255,19 @@ ORACLE: dict[str, str] = {
                max(p_retailprice) FILTER (p_size % 4 NOT IN (0, 1)) AS dearest
         FROM part GROUP BY p_brand
     """,
+    "csv_field_guard": """
+        SELECT p_brand, CASE WHEN p_size % 4 < 2 THEN 'short_row' WHEN p_size % 4 = 3 THEN 'long_row' ELSE 'accepted' END AS reject_reason,
+               count(*) AS "rows", count(*) FILTER (p_size % 4 > 0) AS with_type, max(p_retailprice) FILTER (p_size % 4 > 1) AS dearest
+        FROM part GROUP BY 1, 2
+    """,
+    "merge_inferred": """
+        WITH e AS (SELECT *, CASE WHEN event_id % 2 = 0 THEN 'near' ELSE 'far' END AS feed_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS subdir FROM events)
+        SELECT feed_id, subdir, 'double,string,date,' || CASE WHEN (SELECT max(event_id) FROM events) > 2147483647 THEN 'bigint' ELSE 'int' END AS kinds,
+               count(*) AS "rows", CAST(sum(event_id) AS BIGINT) AS ids, max(CASE WHEN feed_id = 'near' THEN trunc(value) ELSE value END) AS most,
+               max(length(CASE WHEN feed_id = 'near' THEN CAST(user_id AS VARCHAR) ELSE event_type END)) AS longest,
+               count(*) FILTER (feed_id = 'near') AS same_day
+        FROM e GROUP BY 1, 2
+    """,
     "csv_one_file": """
         SELECT n_regionkey AS region, count(*) AS nations, min(n_name) AS first, 1 AS files
         FROM nation GROUP BY n_regionkey
@@ -354,6 +373,18 @@ ORACLE: dict[str, str] = {
                count(*) FILTER (reason IS NULL) AS accepted
         FROM (SELECT *, {_REASON} AS reason FROM ({_SERVICE}))
     """,
+    "service_quality_of_files": f"""
+        SELECT count(*) AS "rows", count(*) FILTER (reason = 'short_row') AS short_row,
+               count(*) FILTER (reason = 'bad_date') AS bad_date,
+               count(*) FILTER (reason = 'bad_time') AS bad_time,
+               count(*) FILTER (reason = 'bad_headway') AS bad_headway,
+               count(*) FILTER (reason = 'zero_headway') AS zero_headway,
+               count(*) FILTER (cut = '8') AS long_row,
+               count(*) FILTER (duration < 0 AND cut <> '7') AS negative_duration,
+               count(*) FILTER (reason IS NULL) AS accepted
+        FROM (SELECT *, CASE WHEN cut = '7' THEN 'short_row' ELSE {_REASON} END AS reason
+              FROM ({_SERVICE_ENDS}))
+    """,
     "rejected_service": f"""
         SELECT operator_name, {_REASON} AS reject_reason, count(*) AS "rows"
         FROM ({_SERVICE}) WHERE {_REASON} IS NOT NULL GROUP BY 1, 2

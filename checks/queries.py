@@ -119,6 +119,13 @@ def lag_previous_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lag_previous(spark, sf_dir, slice_seconds=86400, rows_per_task=50)
 
 
+def lag_previous_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without a place to cut: users of more than 50 events are cut at sampled quantiles of the time."""
+    events = star(spark, sf_dir, "events").select("user_id", "ts", "event_id")
+    lagged = lag_per_group(events, ["user_id"], ["ts", "event_id"], "event_id", "previous_event_id", rows_per_task=50)
+    return lagged.drop("ts")
+
+
 def headways(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations are routes, orders are trips, the first ship date is the departure."""
     customer = star(spark, sf_dir, "customer")
@@ -317,6 +324,28 @@ def csv_short_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _write_lines(lines: DataFrame, path: str) -> None:
+    """CSV files whose lines are the texts of the one column of ``lines``, its name their header."""
+    options = {"header": True, "quote": "\u0000", "escapeQuotes": False, "sep": "\u0001"}
+    lines.write.options(**options).csv(path)
+
+
+def csv_field_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with too few and too many fields counted by reason; separators in quotes are no fields."""
+    target = scratch(spark, "guard")
+    name = F.concat(F.lit('"'), F.col("p_type"), F.lit(', x"'))
+    cut = F.col("p_size") % 4
+    price, more = F.col("p_retailprice").cast("string"), F.when(cut == 3, F.lit('"a, b"'))
+    line = F.when(cut == 0, F.col("p_brand")).when(cut == 1, F.concat_ws(",", "p_brand", name)).otherwise(F.concat_ws(",", "p_brand", name, price, more))
+    _write_lines(star(spark, sf_dir, "part").select(line.alias("brand,type,price")), target)
+    table = read_csv_table(spark, target, faults="fault")
+    tagged = tag_rejects(table, {k: F.col("fault") == k for k in ("short_row", "long_row")})
+    reason = F.coalesce("reject_reason", F.lit("accepted")).alias("reject_reason")
+    return tagged.groupBy(F.col("brand").alias("p_brand"), reason).agg(
+        F.count("*").alias("rows"), F.count("type").alias("with_type"), F.max(F.col("price").cast("double")).alias("dearest")
+    )
+
+
 def csv_one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file, written twice to one path: the second write replaces the first."""
     target = scratch(spark, "one")
@@ -356,6 +385,26 @@ def publish_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("feed_id", F.col("types").cast("bigint").alias("types"), F.lit(files).alias("files"))
 
 
+def merge_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in two feeds whose headers differ, merged with one type for each column over all files.
+
+    One feed has whole numbers where the other has decimals, or words where the other has numbers."""
+    root = scratch(spark, "inferred")
+    events = star(spark, sf_dir, "events").withColumn("subdir", F.col("ts").cast("date").cast("string"))
+    whole = F.col("event_id") % 2 == 0
+    near = events.filter(whole).select("subdir", "event_id", F.col("value").cast("bigint").alias("amount"), F.col("user_id").alias("code"), F.col("ts").cast("date").cast("string").alias("day"))
+    far = events.filter(~whole).select("subdir", F.col("event_type").alias("code"), F.col("value").alias("amount"), "event_id")
+    _write_tree(near, f"{root}/near")
+    _write_tree(far, f"{root}/far")
+    merged = merge_tree(spark, root, "events", file_glob="part-*.csv", infer=True)
+    kinds = F.concat_ws(",", *[F.typeof(c) for c in ("amount", "code", "day", "event_id")])
+    grouped = merged.groupBy("feed_id", "subdir", kinds.alias("kinds"))
+    return grouped.agg(
+        F.count("*").alias("rows"), F.sum(F.col("event_id").cast("bigint")).alias("ids"), F.max("amount").alias("most"),
+        F.max(F.length("code")).cast("bigint").alias("longest"), F.count_if(F.col("day") == F.col("snapshot_date")).alias("same_day"),
+    )
+
+
 def _write_table_files(rows: DataFrame, root: str, name: str, copies: tuple[str, ...] = ()) -> None:
     """``<root>/<feed>/<date>/<name>.txt``, one for each feed and date of ``rows``, and copies of each
     below its feed."""
@@ -447,6 +496,18 @@ def service_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.service_quality(frames.frequencies(spark, sf_dir))
 
 
+def service_quality_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts from files in which some lines end early and some go on; short lines are a reason of their own."""
+    target = scratch(spark, "frequencies")
+    rows = frames.frequencies(spark, sf_dir)
+    names = ["feed_id", "subdir", "trip_id", "headway_secs", "start_time", "end_time"]
+    text = [F.coalesce(F.col(c), F.lit("")) for c in names]
+    cut = F.substring(F.col("trip_id"), -1, 1)
+    line = F.when(cut == "7", F.concat_ws(",", *text[:-1])).when(cut == "8", F.concat_ws(",", *text, F.lit("more"))).otherwise(F.concat_ws(",", *text))
+    _write_lines(rows.select(line.alias(",".join(names))), target)
+    return plans.service_quality(read_csv_table(spark, target, faults="row_fault"))
+
+
 def rejected_service(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = plans.rejected_service(frames.frequencies(spark, sf_dir))
     return rejected.groupBy("operator_name", "reject_reason").agg(F.count("*").alias("rows"))
@@ -471,6 +532,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_per_key": latest_per_key,
     "lag_per_group": lag_previous,
     "lag_per_group_cut": lag_previous_cut,
+    "lag_per_group_sampled": lag_previous_sampled,
     "headway_stats": headways,
     "prefix_relabel": prefix_relabel,
     "relabel_by_table": relabel_by_table,
@@ -484,8 +546,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_snapshots": merge_snapshots,
     "merge_feeds": stacked_feeds,
     "merge_tables": merge_tables,
+    "merge_inferred": merge_inferred,
     "csv_scan_inferred": csv_scan_inferred,
     "csv_short_rows": csv_short_rows,
+    "csv_field_guard": csv_field_guard,
     "csv_one_file": csv_one_file,
     "table_if_database": table_if_database,
     "publish_report": publish_report,
@@ -498,5 +562,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "average_trips": average_trips,
     "average_trips_wide": average_trips_wide,
     "service_quality": service_quality,
+    "service_quality_of_files": service_quality_of_files,
     "rejected_service": rejected_service,
 }
