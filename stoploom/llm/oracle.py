@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
-from .quality import LINE_LIMIT, WINDOW_LIMITS
+#: Fixed values of the quality rules, written here once more.
+_LINE_LIMIT = 0.30
+_WINDOW_LIMITS = {3: 0.30, 4: 0.27, 5: 0.24, 6: 0.22, 7: 0.20, 8: 0.18, 9: 0.165, 10: 0.15}
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _quality() -> str:
-    widths = sorted({*WINDOW_LIMITS, 8})
+    widths = sorted({*_WINDOW_LIMITS, 8})
     windows, flags, covers, sums, limits = [], [], [], [], []
     for n in widths:
         ahead = ", ".join(f"lead(w, {k}) OVER p" for k in range(n))
         windows.append(f"CASE WHEN lead(w, {n - 1}) OVER p IS NOT NULL THEN [{ahead}] END AS g{n}")
-        flags.append(f"CASE WHEN g{n} IS NULL THEN 0 WHEN count(*) OVER (PARTITION BY rid, g{n}) > 1 THEN 1 ELSE 0 END AS f{n}")
+        flags.append(f"(g{n} IS NOT NULL AND row_number() OVER (PARTITION BY rid, g{n} ORDER BY i) > 1)::INT AS f{n}")
         covers.append(f"max(f{n}) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS c{n}")
         sums.append(f"coalesce(sum(length(w)) FILTER (WHERE c{n} = 1), 0) AS chars{n}")
-    for n, most in WINDOW_LIMITS.items():
+    # the base rule counts first occurrences, too
+    flags.append("CASE WHEN g8 IS NULL THEN 0 WHEN count(*) OVER (PARTITION BY rid, g8) > 1 THEN 1 ELSE 0 END AS base")
+    covers.append("max(base) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS based")
+    for n, most in _WINDOW_LIMITS.items():
         limits.append(f"coalesce(chars{n}, 0) <= {most}::DOUBLE * coalesce(word_chars, 0)")
     return rf"""
     WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
@@ -25,7 +30,7 @@ def _quality() -> str:
     grams AS (SELECT rid, w, i, {", ".join(windows)} FROM words WINDOW p AS (PARTITION BY rid ORDER BY i)),
     flags AS (SELECT rid, w, i, {", ".join(flags)} FROM grams),
     covers AS (SELECT rid, w, {", ".join(covers)} FROM flags),
-    sums AS (SELECT rid, count(*) AS n_words, sum(length(w)) AS word_chars, sum(c8) AS n_repeat_words,
+    sums AS (SELECT rid, count(*) AS n_words, sum(length(w)) AS word_chars, sum(based) AS n_repeat_words,
                     {", ".join(sums)} FROM covers GROUP BY rid),
     lines AS (SELECT rid, line, sum(length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g'))) AS chars, count(*) AS n
               FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM docs)
@@ -35,7 +40,7 @@ def _quality() -> str:
                     (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
                     coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
                     coalesce(n_words, 0) < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-                    coalesce(dup_chars, 0) <= {LINE_LIMIT}::DOUBLE * coalesce(word_chars, 0)
+                    coalesce(dup_chars, 0) <= {_LINE_LIMIT}::DOUBLE * coalesce(word_chars, 0)
                     AND {" AND ".join(limits)} AS clean
              FROM docs LEFT JOIN sums USING (rid) LEFT JOIN dups USING (rid))
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

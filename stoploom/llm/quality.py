@@ -1,9 +1,10 @@
 """Quality rules: how much of a text repeats itself.
 
 For several lengths n, every window of n words gets a rolling hash in numpy; a character counts as
-repeated when its word lies in a window that the text holds twice or more (first occurrence
-included), or its line equals an earlier one. A text is rejected when the share of repeated
-characters passes the limit of any length, or that of lines.
+repeated when its word lies in a window that equals an earlier one, or its line equals an earlier one: first
+occurrences don't count, so a header that comes again at the end of a short text costs it once. A text is
+rejected when the share of repeated characters passes the limit of any length, or that of lines. (The base rule
+on windows of 8 words counts first occurrences, too.)
 
 Defined cases: a null or blank text has no words and zero measures; null, repeated or clashing
 other columns are passed through untouched; an empty table gives an empty result. Each text is
@@ -23,10 +24,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import WORD, small_batches
 
-#: The largest share of word characters in repeated windows of n words, and in
-#: repeated lines (counted from the second occurrence on). First occurrences count in windows, so a
-#: header that comes again at a short text's end is a quarter of it; that is no reason to reject it.
-WINDOW_LIMITS = {3: 0.60, 4: 0.50, 5: 0.40, 6: 0.40, 7: 0.40, 8: 0.36, 9: 0.36, 10: 0.36}
+#: The largest share of word characters in windows of n words that the text held before, and in lines
+#: that it held before. Longer windows allow less, so that each length can reject a text that all others keep.
+WINDOW_LIMITS = {3: 0.30, 4: 0.27, 5: 0.24, 6: 0.22, 7: 0.20, 8: 0.18, 9: 0.165, 10: 0.15}
 LINE_LIMIT = 0.30
 #: Fixed values of the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -39,38 +39,36 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "dup_line_chars", "n_repeat_words")
 
 
-def repeated_words(hashes: np.ndarray, lengths: Iterable[int]) -> dict[int, np.ndarray]:
-    """For each window length, which words lie in a window that occurs twice or more."""
-    out, n = {}, len(hashes)
-    rolling = hashes.copy()
-    last, wanted = 1, sorted(lengths)
-    for width in wanted:
-        covered = np.zeros(n, dtype=bool)
-        out[width] = covered
+def repeated_words(hashes: np.ndarray, lengths: Iterable[int]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each window length, which words lie in a window that occurs twice or more, and which in one that
+    occurred before."""
+    n = len(hashes)
+    none = np.zeros(n, dtype=bool)
+    out, rolling, last = {}, hashes.copy(), 1
+
+    def covered(starts: np.ndarray, width: int) -> np.ndarray:
+        steps = np.bincount(starts, minlength=n + 1) - np.bincount(starts + width, minlength=n + 1)
+        return np.cumsum(steps[:n]) > 0
+
+    for width in sorted(lengths):
+        out[width] = (none, none)
         if n <= width:
             continue
         while last < width:  # a window's hash from that of the window one word shorter
             rolling = rolling[: n - last] * _STEP + hashes[last:]
             last += 1
-        order = np.argsort(rolling, kind="stable")
+        order = np.argsort(rolling, kind="stable")  # equal windows in order of place
         ranked = rolling[order]
         equal = ranked[1:] == ranked[:-1]
-        if not equal.any():
-            continue
-        twice = np.zeros(len(ranked), dtype=bool)
-        twice[1:] |= equal
-        twice[:-1] |= equal
-        starts = order[twice]
-        steps = np.zeros(n + 1, dtype=np.int64)
-        np.add.at(steps, starts, 1)
-        np.add.at(steps, starts + width, -1)
-        covered |= np.cumsum(steps[:n]) > 0
+        if equal.any():
+            again = order[1:][equal]
+            out[width] = (covered(np.union1d(order[:-1][equal], again), width), covered(again, width))
     return out
 
 
 def measure(text: str | None, widths: tuple[int, ...]) -> tuple[int, ...]:
     """n_words, word_chars, n_symbols, n_dup_lines, dup_line_chars, n_repeat_words, and the
-    characters in repeated windows of each width."""
+    characters in windows of each width that occurred before."""
     text = text or ""
     words = _WORDS.findall(text)
     sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
@@ -87,7 +85,7 @@ def measure(text: str | None, widths: tuple[int, ...]) -> tuple[int, ...]:
     covered = repeated_words(hashes, {*widths, BASE_WINDOW})
     return (
         len(words), int(sizes.sum()), sum(map(text.count, SYMBOLS)), dup_lines, dup_chars,
-        int(covered[BASE_WINDOW].sum()), *(int(sizes[covered[w]].sum()) for w in widths),
+        int(covered[BASE_WINDOW][0].sum()), *(int(sizes[covered[w][1]].sum()) for w in widths),
     )
 
 

@@ -14,16 +14,20 @@ from stoploom.llm.queries import QUERIES
 NAME = "op7_quality_rules"
 
 
-def covered(words, n):
+def covered(words, n, before=False):
+    """Places of words in windows that occur twice or more; with ``before`` in windows that occurred before."""
     windows = [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
-    often = Counter(windows)
-    hit = set()
+    often, seen, hit = Counter(windows), set(), set()
     for i, w in enumerate(windows):
-        if often[w] > 1:
+        if w in seen if before else often[w] > 1:
             hit.update(range(i, i + n))
+        seen.add(w)
     return hit
 
 
+LIMITS = {3: 0.30, 4: 0.27, 5: 0.24, 6: 0.22, 7: 0.20, 8: 0.18, 9: 0.165, 10: 0.15}
+
+
 def plain(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
@@ -37,8 +41,8 @@ def plain(text):
             dup, dup_chars = dup + 1, dup_chars + sum(map(len, re.findall(r"[^\x20\x09-\x0D]+", line)))
         seen.add(line)
     kept = not failed and dup_chars <= 0.30 * chars
-    for n, most in {3: 0.60, 4: 0.50, 5: 0.40, 6: 0.40, 7: 0.40, 8: 0.36, 9: 0.36, 10: 0.36}.items():
-        kept = kept and sum(len(words[i]) for i in covered(words, n)) <= most * chars
+    for n, most in LIMITS.items():
+        kept = kept and sum(len(words[i]) for i in covered(words, n, before=True)) <= most * chars
     return (len(words), chars, sum(c in "#*$%&|<>" for c in text), dup, repeat, failed, kept)
 
 
@@ -87,5 +91,29 @@ def test_verdict_goes_beyond_the_base_rules(docs):
     assert not rows[1]["base_failed"] and rows[1]["kept"]
 
 
+def test_each_length_alone_decides(docs):
+    """Windows of n words that come again, with words between them that don't, so that no longer window repeats."""
+    texts = []
+    for n, most in LIMITS.items():
+        for over in (0, 1):
+            times = next(k for k in range(2, 400) if n * (k - 1) / 400 > most) - 1 + over
+            fresh = iter(f"x{i:03}" for i in range(400))
+            parts = [" ".join(f"r{j:03}" for j in range(n)) + " " + next(fresh) for _ in range(times)]
+            words = " ".join(parts).split()
+            texts.append(" ".join(words + [next(fresh) for _ in range(400 - len(words))]))
+    kept = {r["doc_id"]: r["quality"]["kept"] for r in quality.repetition(docs(texts)).collect()}
+    assert [kept[k] for k in range(len(texts))] == [True, False] * len(LIMITS)
+    assert [plain(t)[-1] for t in texts] == [True, False] * len(LIMITS)
+
+
+def test_a_quarter_in_passages_and_a_slogan_are_too_much(docs):
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(3, 8)))
+    passage, slogan = " ".join(word() for _ in range(14)), " ".join(word() for _ in range(6))
+    fill = lambda n: " ".join(word() for _ in range(n))
+    texts = [" ".join(f"{passage} {fill(42)}" for _ in range(4)), " ".join(f"{slogan} {fill(11)}" for _ in range(12)), fill(220)]
+    assert [r["quality"]["kept"] for r in quality.repetition(docs(texts)).orderBy("doc_id").collect()] == [False, False, True]
+
+
 def test_empty_table(docs):
     assert quality.keep_clean(docs([])).collect() == []
