@@ -7,11 +7,9 @@ Draws: the documents of a source lie in ``BLOCKS`` blocks by a hash of their id.
 as often as the target covers the source whole; the remainder is drawn without repeats, block after
 block in permuted order, up to the document whose middle the remainder reaches.
 
-Shards: each drawn block of a source is a unit. A splitting tree halves the shards and deals each half its
-share of units by a multivariate hypergeometric draw over sources, down to one shard, so the
-composition of each is that of a random deal and the quotas add up exactly. The tree works on counts
-alone (sources x shards); units, in permuted order, fill the quotas as disjoint ranges, and
-documents are shuffled inside their shard.
+Shards: each drawn block of a source is a unit. A splitting tree over the shards deals every node's units to its
+two halves in exact shares, a multivariate hypergeometric draw over sources, down to one shard (see ``deal``);
+a shard's documents are shuffled inside it. There are as many shards as the words take.
 
 Sums over a source are taken by block first, so a source with a third of all rows is many small
 windows. What is in one place is one row a source and, within a source, one row a block.
@@ -22,8 +20,7 @@ Defined cases: a null source is a source of its own, after all others; a null or
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import keep, word_list
@@ -33,7 +30,8 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 BLOCK_DIGITS = 3
 BLOCKS = 16**BLOCK_DIGITS
-SHARDS = 64
+#: Words of a shard, unless the session's partitions are fewer words each.
+SHARD_WORDS = 64_000_000
 SEED = 7
 
 
@@ -71,19 +69,44 @@ def rows_of(docs: DataFrame, side: Column, source: str = "source", text: str = "
     )
 
 
-def _split(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> np.ndarray:
-    """[shard, source]: ``quotas`` dealt to shards by a tree of multivariate hypergeometric draws."""
-    if shards == 1:
-        return quotas[None, :]
-    half, total = shards // 2, int(quotas.sum())
-    size = total * half // shards
-    left = rng.multivariate_hypergeometric(quotas, size, method="marginals") if 0 < size < total else quotas * (size > 0)
-    return np.vstack([_split(left, half, rng), _split(quotas - left, shards - half, rng)])
-
-
-def draws(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, sizes: DataFrame | None = None) -> DataFrame:
+def deal(units: DataFrame, shards: int) -> DataFrame:
+    """``units`` (with ``mark``, a digest) with ``shard``: a splitting tree over shards, in exact shares.
+
+    Units in order of their marks are a random permutation, and a node of the tree is a range of it. A node
+    of several shards gives half of them the front of its range, as many units as are their share: a draw
+    without replacement, so what each half gets of each source is multivariate hypergeometric and the
+    halves add up to the node. Ranks come from totals by the first digits of the mark, then in each of them."""
+    digits = F.substring("mark", 1, BLOCK_DIGITS).alias("digits")
+    totals = units.groupBy(digits).agg(F.count(F.lit(1)).alias("n"))
+    front = Window.orderBy("digits")  # at most 4,096 rows
+    starts = totals.select("digits", (F.sum("n").over(front) - F.col("n")).alias("start"), F.sum("n").over(Window.partitionBy()).alias("size"))
+    inside = F.row_number().over(Window.partitionBy("digits").orderBy("mark", "src", "block", "copy"))
+    ranked = units.select("*", digits).withColumn("at", inside - 1).join(starts, "digits")
+    node = ranked.withColumns({"at": F.col("start") + F.col("at"), "shard": F.lit(0), "many": F.lit(shards)})
+    for _ in range(max(1, (shards - 1).bit_length())):
+        half = F.expr("many DIV 2")
+        left = F.expr("(size * (many DIV 2)) DIV many")
+        node = node.withColumns({"half": half, "left": left}).withColumn("first", F.col("at") < F.col("left"))
+        node = node.select(
+            *units.columns,
+            F.when(F.col("first"), F.col("at")).otherwise(F.col("at") - F.col("left")).alias("at"),
+            F.when(F.col("first"), F.col("left")).otherwise(F.col("size") - F.col("left")).alias("size"),
+            F.when(F.col("first"), F.col("shard")).otherwise(F.col("shard") + F.col("half")).cast("int").alias("shard"),
+            F.when(F.col("first"), F.col("half")).otherwise(F.col("many") - F.col("half")).alias("many"),
+        )
+    return node.select(*units.columns, "shard")
+
+
+def shard_count(spark: SparkSession, words: int) -> int:
+    """As many shards as the words take, and no fewer than the session has partitions after an exchange."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-words // SHARD_WORDS))
+
+
+def draws(rows: DataFrame, shards: int | None = None, seed: int = SEED, sizes: DataFrame | None = None) -> DataFrame:
     """(side, src, size, source_size, target, copies, shards) of ``rows_of``; ``shards``: where each copy goes.
 
+    ``shards`` given is their number, else ``shard_count`` of the words of all rows.
+
     ``sizes``: the same rows without ``side``, if they are cheaper to read than to compute again."""
     sizes = rows.select("src", "size", "block") if sizes is None else sizes
     blocks = keep(sizes.groupBy("src", "block").agg(F.sum("size").alias("block_size")), "blocks")
@@ -95,16 +118,11 @@ def draws(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, sizes: DataFr
     # units of a block: one for each time the source is taken whole, one more where the remainder reaches
     parts = F.when(F.col("block_size") > 0, F.col("times") + (F.col("start") < F.col("rest")).cast("long")).otherwise(0)
     units = placed.where(parts > 0).select("src", "block", F.explode(F.sequence(F.lit(1).cast("long"), parts)).alias("copy"))
-    permuted = Window.partitionBy("src").orderBy(F.md5(F.concat_ws(":", F.col("block"), F.col("copy").cast("string"), F.lit(f"{seed}"))), "block", "copy")
-    units = units.withColumn("place", F.row_number().over(permuted) - 1)
-    counted = sorted(units.groupBy("src").count().collect())  # one row a source
-    spark = rows.sparkSession
-    quotas = np.array([r["count"] for r in counted], dtype=np.int64)
-    dealt = _split(quotas, shards, np.random.default_rng(seed)) if len(quotas) else np.zeros((shards, 0), dtype=np.int64)
-    ends = [(r["src"], np.cumsum(dealt[:, k]).tolist()) for k, r in enumerate(counted)]
-    bounds = spark.createDataFrame(ends, "src string, ends array<long>")
-    shard = F.size(F.filter("ends", lambda e: e <= F.col("place")))
-    homes = units.join(bounds, "src").groupBy("src", "block").agg(F.array_sort(F.collect_list(F.struct("copy", shard.alias("shard")))).alias("homes"))
+    mark = F.md5(F.concat_ws(":", "src", "block", F.col("copy").cast("string"), F.lit(f"{seed}")))
+    if shards is None:
+        shards = shard_count(rows.sparkSession, blocks.agg(F.sum("block_size")).first()[0] or 0)
+    dealt = deal(units.withColumn("mark", mark), shards)
+    homes = dealt.groupBy("src", "block").agg(F.array_sort(F.collect_list(F.struct("copy", "shard"))).alias("homes"))
     known = placed.join(homes, ["src", "block"], "left").select("src", "block", "start", "source_size", "target", "times", "rest", "homes")
     in_block = Window.partitionBy("src", "block").orderBy("mark", "size").rowsBetween(Window.unboundedPreceding, -1)
     ranked = rows.withColumn("before", F.coalesce(F.sum("size").over(in_block), F.lit(0)))
@@ -119,19 +137,25 @@ def draws(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, sizes: DataFr
     )
 
 
-def plan(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, copies, shards) of every row of (doc_id, text, source)."""
+def plan(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, copies, shards) of every row of (doc_id, text, source).
+
+    ``taken`` counts the words of the copies that were dealt to a shard."""
     rows = keep(rows_of(docs, F.struct("doc_id"), seed=seed), "sizes")
     drawn = draws(rows, shards, seed)
-    taken = (F.col("copies") * F.col("size")).alias("taken")
+    taken = (F.coalesce(F.array_size("shards"), F.lit(0)) * F.col("size")).alias("taken")
     return drawn.select(F.col("side.doc_id").alias("doc_id"), "size", "source_size", "target", taken, "copies", "shards")
 
 
-def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataFrame:
     """The mixture: rows of ``docs`` as often as they are drawn, by shard, shuffled inside it."""
     rows = rows_of(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]), seed=seed)
-    drawn = draws(rows, shards, seed, keep(rows.select("src", "size", "block"), "sizes"))
+    sizes = keep(rows.select("src", "size", "block"), "sizes")
+    if shards is None:
+        shards = shard_count(docs.sparkSession, sizes.agg(F.sum("size")).first()[0] or 0)
+    drawn = draws(rows, shards, seed, sizes)
     copies = drawn.select("side", F.posexplode("shards").alias("copy", "shard"))
     order = F.xxhash64(F.lit(seed), "copy", F.col("side").getField("doc_id"), F.col("side").getField("text"))
-    dealt = copies.withColumn("order", order).repartition("shard").sortWithinPartitions("shard", "order")
+    # a shard is a partition
+    dealt = copies.withColumn("order", order).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "order")
     return dealt.select(*[F.col("side").getField(c).alias(c) for c in docs.columns])

@@ -53,15 +53,47 @@ def test_sql_agrees(spark, docs, tmp_path):
     assert differences(QUERIES[NAME](spark, str(tmp_path)), str(tmp_path), ORACLE[NAME]) is None
 
 
-def test_tree_deals_exact_quotas():
-    rng = np.random.default_rng(0)
+def dealt(spark, quotas, shards, seed=0):
+    """[shard, source]: units dealt to shards."""
+    units = spark.createDataFrame([(str(k), f"{i}", 1) for k, n in enumerate(quotas) for i in range(n)], "src string, block string, copy long")
+    rows = mixing.deal(units.withColumn("mark", F.md5(F.concat_ws(":", F.lit(seed), "src", "block"))), shards).collect()
+    out = np.zeros((shards, len(quotas)), dtype=np.int64)
+    for r in rows:
+        out[r["shard"], int(r["src"])] += 1
+    return out
+
+
+def test_tree_deals_exact_quotas(spark):
     quotas = np.array([900, 100, 0, 7])
     for shards in (1, 2, 7, 64):
-        dealt = mixing._split(quotas, shards, rng)
-        assert dealt.shape == (shards, 4) and (dealt.sum(axis=0) == quotas).all() and (dealt >= 0).all()
-        assert dealt.sum(axis=1).max() - dealt.sum(axis=1).min() <= 7
-    shares = np.mean([mixing._split(quotas, 4, rng)[0] for _ in range(300)], axis=0)
-    assert np.allclose(shares, quotas / 4, atol=3)
+        found = dealt(spark, quotas, shards)
+        assert (found.sum(axis=0) == quotas).all()
+        assert found.sum(axis=1).max() - found.sum(axis=1).min() <= 7
+    shares = np.mean([dealt(spark, quotas, 4, seed)[0] for seed in range(20)], axis=0)
+    assert np.allclose(shares, quotas / 4, atol=8)
+
+
+def plain_tree(total, shards):
+    """Sizes of the shards of a tree."""
+    if shards == 1:
+        return [total]
+    half, left = shards // 2, total * (shards // 2) // shards
+    return plain_tree(left, half) + plain_tree(total - left, shards - half)
+
+
+def test_tree_follows_the_order_of_marks(spark):
+    for shards in (1, 3, 6, 13):
+        units = spark.range(101).selectExpr("'s' AS src", "CAST(id AS STRING) AS block", "1 AS copy", "md5(CAST(id AS STRING)) AS mark")
+        rows = sorted(mixing.deal(units, shards).collect(), key=lambda r: r["mark"])
+        sizes = Counter(r["shard"] for r in rows)
+        assert [r["shard"] for r in rows] == sorted(r["shard"] for r in rows)
+        assert [sizes[k] for k in range(shards)] == plain_tree(101, shards)
+
+
+def test_shards_follow_the_words(spark, docs):
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [mixing.shard_count(spark, n * mixing.SHARD_WORDS) for n in (0, 1, least, 1000)] == [least, least, least, 1000]
+    assert mixing.mix(docs(sample(3)), shards=5).rdd.getNumPartitions() == 5
 
 
 def test_copies_go_to_shards_and_reruns_agree(docs):
