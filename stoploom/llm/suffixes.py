@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from .common import keep, small_batches, text_bytes, unused
 
 LENGTH = 400
+#: Bytes of an anchor for the default length; shorter lengths have anchors in proportion, at least 8 bytes.
 ANCHOR = 64
 PERIOD = 64
 BUCKET_RUNS = 2048
@@ -91,10 +92,14 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
+def anchor_of(length: int) -> int:
+    return min(ANCHOR, max(8, ANCHOR * length // LENGTH))
+
+
 def text_runs(data: bytes, length: int, windows: Windows) -> list[tuple[int, int, int, int, bytes]]:
     """(start, suffixes, anchor - start, bucket, digest) of each run of a text."""
     whole = np.frombuffer(data, dtype=np.uint8)
-    span = length - ANCHOR + 1
+    span = length - windows.width + 1
     out = []
     for at in range(0, len(data) - length + 1, _PIECE):
         piece = whole[at : at + _PIECE + length - 1]
@@ -234,7 +239,7 @@ def find_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
     def run(batches):
-        windows = Windows(ANCHOR, _PIECE + length)
+        windows = Windows(anchor_of(length), _PIECE + length)
         for batch in batches:
             ids, hashes = batch.column("id_hash").to_pylist(), batch.column("text_hash").to_pylist()
             columns = [[] for _ in names]
