@@ -41,9 +41,9 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, Struc
 from .common import keep, small_batches
 
 #: Characters of text in a block.
-BLOCK_CHARS = 8 << 20
+BLOCK_CHARS = 6 << 20
 #: Entries that a product looks at together.
-_ENTRIES = 1 << 21
+_ENTRIES = 1 << 18
 #: Words encoded in one call.
 _BATCH = 1 << 13
 #: A single blank between two characters that are not white space.
