@@ -50,7 +50,7 @@ def test_articles_and_slots_of_a_template(spark, tables):
 
 
 def test_references_white_space_and_broken_markup():
-    read = lambda page: html.main_text(page, None, None)
+    read = lambda page: html.main_text(page, html.Template(None))
     assert read("<article><p>a&amp;b &lt;i&gt; &eacute;&#233;&#xe9;&nbsp;x\n\t y</p>tail</article>") == "a&b <i> ééé x y\ntail"
     assert read("<article><h1>T &amp</h1><p><b>one.<br><p>two.</p></article><footer>f</footer>") == "T &\none.\ntwo."
     assert read("<article><p>in<em>li</em>ne <a href=x>link</a>s</p><ul><li>1<li>2</ul></article>") == "inline links\n1\n2"
@@ -104,7 +104,7 @@ def test_template_text_inside_articles(spark):
 
 def test_parts_of_names_inside_articles(spark):
     """A part of a name drops an element of an article only where the host's template holds it, too."""
-    read = lambda page: html.main_text(page, None, None)
+    read = lambda page: html.main_text(page, html.Template(None))
     assert read("<article><h2 id='related-work'>a</h2><h2 id=search>b</h2><section id='search-algorithms'>c</section></article>") == "a\nb\nc"
     assert read("<main><div id='login-instructions'>a</div><section aria-label='Social history'>b</section><p class='copyright-law'>c</p></main>") == "a\nb\nc"
     rng = random.Random(6)
@@ -117,3 +117,90 @@ def test_parts_of_names_inside_articles(spark):
         want[i] = f"{own}\n{rest}\nx{i}"
     got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, PAGES).repartition(4)).collect()}
     assert got == want
+
+
+def test_layouts_of_a_host(spark):
+    """Three layouts of a third of a host's pages each, without articles: each has its own menu, notice and main element."""
+    rng = random.Random(8)
+    rows, want = [], {}
+    for k in range(3):
+        menu, notice = "".join(f"<li>{words(rng, 2)}</li>" for _ in range(5)), words(rng, 25)
+        for i in range(30 * k, 30 * k + 30):
+            own = [words(rng, rng.randint(20, 40)) for _ in range(rng.randint(3, 6))]
+            box = f"<div class='k{k}'><p>{notice}</p>{''.join(f'<p>{x}</p>' for x in own)}</div>"
+            rows.append((i, f"http://a.example/{i}", f"<body><div class='m{k}'><ul>{menu}</ul></div>{box}<div class='e{k}'><p>{words(rng, 3)}</p></div></body>"))
+            want[i] = "\n".join(own)
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, PAGES).repartition(4)).collect()}
+    assert got == want
+
+
+def test_whole_names_inside_articles(spark):
+    """A name inside an article drops what the host repeats, also of few pages, and keeps what stands on one page."""
+    rng = random.Random(9)
+    rows, want = [], {}
+    for i in range(20):
+        own, rest = words(rng, 40), words(rng, 40)
+        once = {3: f"<div id='menu'><p>{rest}</p></div>", 4: f"<p class='related'>{rest}</p>", 5: f"<div class='comment'><p>{rest}</p></div>"}
+        often = f"<div class='comments'><p>{words(rng, 30)}</p></div>" if i in (1, 8, 9, 15) else ""
+        rows.append((i, f"http://a.example/{i}", f"<body><article><p>{own}</p>{once.get(i, f'<p>{rest}</p>')}{often}</article></body>"))
+        want[i] = f"{own}\n{rest}"
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, PAGES).repartition(4)).collect()}
+    assert got == want
+
+
+def plain_classes(pages):
+    """{tokens in order} of the classes of a group of parsed pages, by occurrence vectors held whole."""
+    vectors, places = {}, {}
+    for k, (_, tokens, _, _) in enumerate(pages):
+        for t in set(tokens):
+            vectors.setdefault(t, [0] * len(pages))[k] = tokens.count(t)
+            places.setdefault(t, []).append(tokens.index(t))
+    groups = {}
+    for t, v in vectors.items():
+        support = sum(n > 0 for n in v)
+        if support >= html.CLASS_PAGES and support >= html.CLASS_SHARE * len(pages):
+            groups.setdefault(tuple(v), []).append((sum(places[t]) / support, html._signed(t)))
+    return {tuple(t for _, t in sorted(g)) for g in groups.values() if len(g) >= html.CLASS_TOKENS}
+
+
+def plain_template(tokens, classes):
+    """Tokens of the classes that keep their order and stand in one gap of each class before, or around it."""
+    signed = list(map(html._signed, tokens))
+    taken, out = [], set()
+    for c in classes:
+        at = [signed.index(t) if t in signed else None for t in c]
+        if None in at or at != sorted(at):
+            continue
+        gap = lambda x, other: sum(o < x for o in other)
+        if all(len({gap(x, o) for x in at}) == 1 or len({gap(x, at) for x in o}) == 1 for o in taken):
+            taken.append(at)
+            out |= set(c)
+    return out
+
+
+def test_classes_and_nesting_against_brute_force(spark):
+    rng = random.Random(10)
+    made = [with_article(rng, i)[0] for i in range(40)]
+    menus = ["".join(f"<li>{words(rng, 2)}</li>" for _ in range(4)) for _ in range(2)]
+    made += [without_article(rng, 100 + i, menus[i % 2], words(rng, 8))[0] for i in range(24)]
+    made += [(200 + i, "http://two.example/", f"<body><div class=l{i % 2}><p>{'ab'[i % 2]}</p><p>{words(rng, 9)}</p></div><p>end</p></body>") for i in range(24)]
+    df = spark.createDataFrame(made, PAGES).withColumn("host", html.F.xxhash64(html.host_of(html.F.col("url"))))
+    hosts = {r["page_id"]: r["host"] for r in df.select("page_id", "host").collect()}
+    parsed = {}
+    for i, _, page in made:
+        parsed.setdefault(hosts[i], []).append(html.parse(page))
+    seen = 0
+    for row in html.host_templates(df).collect():
+        pages = parsed[row["host"]]
+        assert {tuple(c["tokens"]) for c in row["classes"]} == plain_classes(pages)
+        layouts = {}
+        for p in pages:
+            layouts.setdefault(html._signed(p[3]), []).append(p)
+        large = {k for k, v in layouts.items() if html.LAYOUT_PAGES <= len(v) < len(pages) and len(v) >= html.LAYOUT_SHARE * len(pages)}
+        assert {x["layout"] for x in row["layouts"]} == large
+        for x in row["layouts"]:
+            assert {tuple(c["tokens"]) for c in x["classes"]} == plain_classes(layouts[x["layout"]])
+            seen += 1
+        for _, tokens, _, _ in pages:
+            assert html.template_tokens(tokens, row["classes"]) == plain_template(tokens, [c["tokens"] for c in row["classes"]])
+    assert seen == 2
