@@ -385,8 +385,14 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, CASE WHEN cut = '7' THEN 'short_row' ELSE {_REASON} END AS reason
               FROM ({_SERVICE_ENDS}))
     """,
+    "service_saved_rows": f"""
+        SELECT operator_name, coalesce(reason, 'accepted') AS reject_reason, count(*) AS "rows",
+               CAST(sum(CASE WHEN headway <> 0 THEN CAST(trunc(duration / headway) AS BIGINT) END) AS BIGINT) AS trips
+        FROM (SELECT *, {_REASON} AS reason FROM ({_SERVICE})) GROUP BY 1, 2
+    """,
     "rejected_service": f"""
         SELECT operator_name, {_REASON} AS reject_reason, count(*) AS "rows"
         FROM ({_SERVICE}) WHERE {_REASON} IS NOT NULL GROUP BY 1, 2
     """,
 }
+ORACLE["service_committed"] = ORACLE["service_quality"]

@@ -508,6 +508,21 @@ def service_quality_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.service_quality(read_csv_table(spark, target, faults="row_fault"))
 
 
+def service_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that the tasks hand over with the files they write."""
+    return plans.save_service(frames.frequencies(spark, sf_dir), scratch(spark, "service")).counts
+
+
+def service_saved_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted and rejected windows read back from their files, written twice to one path."""
+    target = scratch(spark, "service")
+    frequencies = frames.frequencies(spark, sf_dir)
+    plans.save_service(frequencies, target)
+    saved = plans.save_service(frequencies, target)
+    both = saved.accepted.withColumn("reject_reason", F.lit("accepted")).unionByName(saved.rejected)
+    return both.groupBy("operator_name", "reject_reason").agg(F.count("*").alias("rows"), F.sum("num_trips").alias("trips"))
+
+
 def rejected_service(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = plans.rejected_service(frames.frequencies(spark, sf_dir))
     return rejected.groupBy("operator_name", "reject_reason").agg(F.count("*").alias("rows"))
@@ -563,5 +578,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "average_trips_wide": average_trips_wide,
     "service_quality": service_quality,
     "service_quality_of_files": service_quality_of_files,
+    "service_committed": service_committed,
+    "service_saved_rows": service_saved_rows,
     "rejected_service": rejected_service,
 }

@@ -9,6 +9,7 @@ from stoploom.plans.analyses import (
     rejected_service,
     route_names,
     routes_per_feed,
+    save_service,
     service_quality,
     waiting_time,
 )
@@ -24,6 +25,7 @@ __all__ = [
     "rejected_service",
     "route_names",
     "routes_per_feed",
+    "save_service",
     "service_quality",
     "waiting_time",
 ]

@@ -27,6 +27,7 @@ from stoploom.operators.gaps import gaps, headway_stats
 from stoploom.operators.isolated import isolated_points
 from stoploom.operators.quality import count_rejects, observe_rejects, split_rejects
 from stoploom.plans.schedule import NON_BUS_FEEDS, OPERATOR_NAMES, RAIL_FEED, TRAIN_FEED
+from stoploom.sinks.counted import Written, write_counted
 
 
 def routes_per_feed(routes: DataFrame, exclude: Sequence[str] = NON_BUS_FEEDS) -> DataFrame:
@@ -233,6 +234,14 @@ def service_quality(frequencies: DataFrame) -> DataFrame:
     return count_rejects(windows, service_rules(faults), service_notes(faults))
 
 
+def save_service(frequencies: DataFrame, path: str) -> Written:
+    """Service windows written in one pass: accepted ones, rejected ones with their reason, and the counts of
+    :func:`service_quality`, which stay exact if tasks are run again."""
+    windows = service_windows(frequencies)
+    faults = ROW_FAULT in windows.columns
+    return write_counted(windows, path, service_rules(faults), service_notes(faults))
+
+
 def rejected_service(frequencies: DataFrame) -> DataFrame:
     """The rows :func:`average_trips` leaves out, with their ``reject_reason``."""
     windows = service_windows(frequencies)
