@@ -3,8 +3,8 @@
 Texts are split into pre-tokens ("words") as the tokenizer file says. A task cuts its texts into
 blocks of at most about ``BLOCK_WORDS`` distinct words; a text becomes the numbers of its words within its
 block. The distinct words of all blocks are sorted by word, each is encoded once, and its ids go
-back to every block that holds it, where they are put at their positions. Decoding joins each id
-with its piece in the vocabulary.
+back to every block that holds it, where they are put at their positions. Decoding joins the distinct
+ids of each block with the vocabulary, a table of (id, piece), and puts the pieces in the places of the ids.
 
 A frequent word is one row a block, however often it occurs, so no word is a hot key, and nothing is
 broadcast but the tokenizer file. Texts and the words of their blocks cross one exchange, by block,
@@ -29,7 +29,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 import tokenizers
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from .common import small_batches
@@ -37,9 +38,12 @@ from .common import small_batches
 #: A block ends when it has so many distinct words or characters.
 BLOCK_WORDS = 1 << 19
 BLOCK_CHARS = 1 << 26
-#: Words of a block in one row; chunks of text remembered with their words.
+#: Words of a block in one row; characters of chunks that are remembered with their words, and of the longest one.
 _ROW_WORDS = 1 << 16
-_REMEMBERED = 1 << 17
+_REMEMBERED = 1 << 20
+_LONG_CHUNK = 1 << 8
+#: Ids of rows of ``encode`` that ``decode`` takes as a block.
+_BLOCK_IDS = 1 << 22
 #: Encoded words that a task packs together, by block.
 _PACKED = 1 << 18
 #: Latin letters up to here lower-case and compose alike everywhere; other texts take the library's path.
@@ -63,6 +67,7 @@ class Splitter:
         self.bytes = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.special = {t["content"]: t["id"] for t in found["added_tokens"]}
         self.known: dict[str, list[str]] = {}
+        self.known_chars = 0
         self.special_at = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
 
     def words(self, text: str | None) -> list[str]:
@@ -85,9 +90,13 @@ class Splitter:
     def chunk_words(self, chunk: str) -> list[str]:
         found = self.known.get(chunk)
         if found is None:
-            if len(self.known) >= _REMEMBERED:
-                self.known.clear()
-            found = self.known[chunk] = self.plain_words(chunk)
+            found = self.plain_words(chunk)
+            if len(chunk) <= _LONG_CHUNK:
+                if self.known_chars >= _REMEMBERED:
+                    self.known.clear()
+                    self.known_chars = 0
+                self.known[chunk] = found
+                self.known_chars += len(chunk)
         return found
 
     def rare_words(self, text: str) -> list[str]:
@@ -102,13 +111,9 @@ class Splitter:
             return [self.special[word]]
         return [t.id for p, _ in self.bytes.pre_tokenize_str(word) for t in self.model.tokenize(p)]
 
-    def pieces(self) -> list[str]:
+    def pieces(self) -> dict[int, str]:
         """The piece of every id."""
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        out = [""] * (max(vocabulary.values()) + 1)
-        for piece, i in vocabulary.items():
-            out[i] = piece
-        return out
+        return {i: piece for piece, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
 
 
 def load(path: str) -> str:
@@ -233,8 +238,7 @@ def encoded_words(words: DataFrame, spec: str) -> DataFrame:
 class WordIds:
     """The ids of a block's words by number."""
 
-    def __init__(self, packed: pa.Table):
-        rows = packed.to_pylist()
+    def __init__(self, rows: list[dict]):
         sizes = [_unpacked(r["sizes"], r["n"]).astype(np.int64) for r in rows]
         numbers = [_unpacked(r["numbers"], r["n"]).astype(np.int64) for r in rows]
         flat = [_unpacked(r["ids"], r["n_ids"]) for r in rows]
@@ -251,31 +255,62 @@ class WordIds:
         return self.flat[np.arange(ends[-1] if n else 0) + np.repeat(self.begins[words] - (ends - sizes), sizes)]
 
 
+def vocabulary(spark: SparkSession, spec: str) -> DataFrame:
+    """(id, piece) of the tokenizer, a table as large as its file."""
+    ids, pieces = zip(*sorted(Splitter(spec).pieces().items()), strict=True)
+    return spark.createDataFrame(pa.table({"id": pa.array(ids, pa.int32()), "piece": pa.array(pieces, pa.string())}))
+
+
+def _distinct_ids(rows: DataFrame) -> DataFrame:
+    """(block, id) of the distinct ids of each row's ``answers``, an array with ``n_ids`` and ``ids``."""
+
+    def run(batches):
+        for batch in batches:
+            for block, answers in zip(batch.column("block").to_pylist(), batch.column("answers").to_pylist(), strict=True):
+                found = [np.unique(_unpacked(a["ids"], a["n_ids"])) for a in answers]
+                ids = np.unique(np.concatenate(found)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), block, np.int64)), pa.array(ids)], names=["block", "id"])
+
+    return rows.select("block", "answers").mapInArrow(run, "block long, id int")
+
+
+def _pieces_of(used: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(block, piece_ids, pieces) from the distinct ids (block, id) of each block: every id joined with its piece."""
+    pairs = F.array_sort(F.collect_list(F.struct("id", "piece"))).alias("pairs")
+    listed = used.join(pieces, "id").groupBy("block").agg(pairs)
+    return listed.select("block", F.col("pairs.id").alias("piece_ids"), F.col("pairs.piece").alias("pieces"))
+
+
+class Pieces:
+    """The joined pieces of a block, and its ids in decimal, by id."""
+
+    def __init__(self, rows: pa.Table):
+        row = rows.slice(0, 1).to_pylist()[0] if rows.num_rows else {}
+        ids, pieces = row.get("piece_ids") or [], row.get("pieces") or []
+        self.at = np.zeros(max(ids, default=-1) + 1, dtype=np.int64)
+        self.at[ids] = np.arange(len(ids))
+        self.pieces, self.decimal = (np.array(list(x), dtype=object) for x in (pieces, map(str, ids)))
+
+    def of(self, ids: np.ndarray) -> list[str]:
+        return self.pieces[self.at[ids]].tolist()
+
+    def numbers(self, ids: np.ndarray) -> list[str]:
+        return self.decimal[self.at[ids]].tolist()
+
+
 def encode(docs: DataFrame, spec: str) -> DataFrame:
     """(doc_id, n_tokens, ids): ids as compressed 32-bit numbers, see ``unpack``."""
-    return _finished(docs, spec, _encoded_rows(None), "n_tokens long, ids binary")
+    return _finished(docs, spec, lambda ids, pieces: (len(ids), _packed(ids)), "n_tokens long, ids binary", False)
 
 
 def digests(docs: DataFrame, spec: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of the ids and of the text decoded from them."""
-    return _finished(docs, spec, _encoded_rows(spec), "n_tokens long, ids_sha256 string, decoded_sha256 string")
-
+    sha = lambda parts: hashlib.sha256(" ".join(parts).encode()).hexdigest()
 
-def _encoded_rows(spec: str | None):
-    def make():
-        pieces = Splitter(spec).pieces() if spec else []
-        numbers = list(map(str, range(len(pieces))))
-        sha = lambda parts: hashlib.sha256(" ".join(parts).encode()).hexdigest()
+    def row(ids: np.ndarray, pieces: Pieces) -> tuple:
+        return len(ids), sha(pieces.numbers(ids)), sha(pieces.of(ids))
 
-        def row(ids: np.ndarray) -> tuple:
-            if not spec:
-                return len(ids), _packed(ids)
-            listed = ids.tolist()
-            return len(listed), sha(map(numbers.__getitem__, listed)), sha(map(pieces.__getitem__, listed))
-
-        return row
-
-    return make
+    return _finished(docs, spec, row, "n_tokens long, ids_sha256 string, decoded_sha256 string", True)
 
 
 def unpack(ids: bytes, n_tokens: int) -> list[int]:
@@ -283,10 +318,16 @@ def unpack(ids: bytes, n_tokens: int) -> list[int]:
     return _unpacked(ids, n_tokens).tolist()
 
 
-def _finished(docs: DataFrame, spec: str, make, columns: str) -> DataFrame:
-    small_batches(docs.sparkSession)
+def _finished(docs: DataFrame, spec: str, row, columns: str, decoded: bool) -> DataFrame:
+    """``row`` of every text's ids and, if ``decoded``, the pieces of its block."""
+    spark = docs.sparkSession
+    small_batches(spark)
     blocks = _blocks(docs, spec)
     answers = encoded_words(_block_words(blocks), spec)
+    # one row a block: the decoder uses this exchange, too, and the join below keeps its partitions
+    listed = answers.groupBy("block").agg(F.collect_list(F.struct("n", "n_ids", "numbers", "sizes", "ids")).alias("answers"))
+    if decoded:
+        listed = listed.join(_pieces_of(_distinct_ids(listed), vocabulary(spark, spec)), "block", "left")
     doc_type = blocks.schema["doc_id"].dataType.simpleString()
     names = [c.split()[0] for c in columns.split(", ")]
     types = [{"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}[c.split()[1]] for c in columns.split(", ")]
@@ -294,27 +335,46 @@ def _finished(docs: DataFrame, spec: str, make, columns: str) -> DataFrame:
     def finish(texts: pa.Table, words: pa.Table) -> pa.Table:
         """One block: at most about ``BLOCK_CHARS`` characters."""
         texts = texts.filter(pc.is_valid(texts.column("n")))
-        row, ids = make(), WordIds(words)
-        out = [row(ids.of(s.as_py(), n.as_py())) for n, s in zip(texts.column("n"), texts.column("sequence"), strict=True)]
+        ids = WordIds([a for part in words.column("answers").to_pylist() for a in part])
+        pieces = Pieces(words) if decoded else None
+        out = [row(ids.of(s.as_py(), n.as_py()), pieces) for n, s in zip(texts.column("n"), texts.column("sequence"), strict=True)]
         made = list(zip(*out, strict=True)) or [()] * len(names)
         arrays = [pa.array(m, t) for m, t in zip(made, types, strict=True)]
         return pa.table([texts.column("doc_id"), *arrays], names=["doc_id", *names])
 
-    both = blocks.groupBy("block").cogroup(answers.groupBy("block"))
+    both = blocks.groupBy("block").cogroup(listed.groupBy("block"))
     return both.applyInArrow(finish, f"doc_id {doc_type}, {columns}")
 
 
 def decode(encoded: DataFrame, spec: str) -> DataFrame:
-    """(doc_id, text) of rows of ``encode``: every id joined with its piece, joined by one space."""
-    kind = encoded.schema["doc_id"].dataType.simpleString()
+    """(doc_id, text) of rows of ``encode``: every id joined with its piece, joined by one space. Blocks follow the order
+    of a task's rows, so ``encoded`` should come from files."""
+    spark = encoded.sparkSession
+    small_batches(spark)
+    slim = encoded.select("doc_id", "n_tokens", "ids")
+    kind = slim.schema["doc_id"].dataType.simpleString()
+    numbered = StructType([StructField("block", LongType()), *slim.schema.fields])
+
+    def number(batches):
+        from pyspark import TaskContext
 
-    def run(batches):
-        pieces = Splitter(spec).pieces()
+        block, held = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            texts = [
-                " ".join(map(pieces.__getitem__, unpack(i.as_py(), n.as_py())))
-                for n, i in zip(batch.column("n_tokens"), batch.column("ids"), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
-
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, f"doc_id {kind}, text string")
+            blocks = []
+            for n in batch.column("n_tokens").to_pylist():
+                if held >= _BLOCK_IDS:
+                    block, held = block + 1, 0
+                held += n
+                blocks.append(block)
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), *batch.columns], names=numbered.names)
+
+    rows = slim.mapInArrow(number, numbered).repartition("block")
+    one = F.array(F.struct(F.col("n_tokens").alias("n_ids"), F.col("ids"))).alias("answers")
+    pieces = _pieces_of(_distinct_ids(rows.select("block", one)).distinct(), vocabulary(spark, spec))
+
+    def finish(texts: pa.Table, found: pa.Table) -> pa.Table:
+        block = Pieces(found)
+        made = [" ".join(block.of(_unpacked(i.as_py(), n.as_py()))) for n, i in zip(texts.column("n_tokens"), texts.column("ids"), strict=True)]
+        return pa.table([texts.column("doc_id"), pa.array(made, pa.string())], names=["doc_id", "text"])
+
+    return rows.groupBy("block").cogroup(pieces.groupBy("block")).applyInArrow(finish, f"doc_id {kind}, text string")

@@ -86,3 +86,35 @@ def test_other_kinds_of_tokenizer_files_are_refused():
     other = json.loads(SPEC) | {"normalizer": {"type": "Sequence", "normalizers": [{"type": "NFKC"}]}}
     with pytest.raises(ValueError):
         bpe.Splitter(json.dumps(other))
+
+
+def test_ids_are_joined_with_the_vocabulary(spark, docs):
+    """Pieces come from the joined table; both exchanges by block are used twice."""
+    pieces = {r["id"]: r["piece"] for r in bpe.vocabulary(spark, SPEC).collect()}
+    assert pieces == bpe.Splitter(SPEC).pieces()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = bpe.digests(docs(texts(11)), SPEC)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("ReusedExchange") >= 2 and "SortMergeJoin" in plan
+
+
+@pytest.mark.parametrize("size", [1, 200])
+def test_decode_in_blocks_of_any_size(docs, library, monkeypatch, size):
+    monkeypatch.setattr(bpe, "_BLOCK_IDS", size)
+    sample = texts(12)[:70]
+    encoded = bpe.encode(docs(sample).repartition(3), SPEC).withColumn("block", F.lit(1)).withColumn("piece", F.lit("p"))
+    got = {r["doc_id"]: r["text"] for r in bpe.decode(encoded, SPEC).collect()}
+    assert got == {i: library.decode(library.encode(t or "", add_special_tokens=False).ids, skip_special_tokens=False) for i, t in enumerate(sample)}
+
+
+def test_remembered_chunks_are_bounded_by_characters(monkeypatch):
+    monkeypatch.setattr(bpe, "_REMEMBERED", 30)
+    splitter, plain = bpe.Splitter(SPEC), bpe.Splitter(SPEC)
+    for k in range(50):
+        text = f"word{k} {'x' * 400}"
+        assert splitter.words(text) == plain.rare_words(text)
+        assert sum(map(len, splitter.known)) < 30 + bpe._LONG_CHUNK and max(map(len, splitter.known)) <= bpe._LONG_CHUNK
