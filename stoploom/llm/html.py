@@ -22,8 +22,10 @@ Where a host has no template (a null url, few pages), a whole name or the last p
 decides. An id says nothing of a heading, nor a part of one of a section.
 
 Occurrence vectors are summed as two hashes, so no vector is ever held; templates are one row a host.
-Pages cross one exchange, compressed, dealt by host and a salt, so that a host with a third of all pages
-is spread over ``SALTS`` times as many groups.
+Pages cross one exchange, compressed, dealt by host and a salt. A host that holds more than its share of one of the
+session's shuffle partitions has as many salts as such shares, so no group of a host and a salt is expected to outgrow one
+partition's share, whatever the size of the input; there are fewer such hosts than partitions. Pages without a host
+have no template to meet and are dealt over all salts.
 
 Defined cases: a null or empty html has an empty text; a null url belongs to no host and is extracted
 by names alone; rows that repeat a page count as pages of their own; broken markup is read as far
@@ -55,7 +57,6 @@ LAYOUT_SHARE = 0.05
 MAIN_SHARE = 0.5
 #: The share of the group's mean article text above which a class is a copied article.
 COPY_SHARE = 0.5
-SALTS = 16
 
 #: Elements without an end tag, elements that start a block of text, elements with no text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -422,13 +423,24 @@ def main_text(page: str, template: Template) -> str:
     return "\n".join(b.text for b in inside or slots)
 
 
+def large_hosts(pages: DataFrame, shares: int) -> DataFrame:
+    """(large, salts): the hosts that hold more than one of ``shares`` equal parts of all pages, fewer than ``shares`` rows,
+    and how many such parts each holds, rounded up."""
+    total = max(pages.count(), 1)
+    counts = pages.where("host IS NOT NULL").groupBy("host").agg(F.count("*").alias("pages"))
+    salts = F.ceil(F.col("pages") * shares / F.lit(total)).cast("int").alias("salts")
+    return keep(counts.where(F.col("pages") * shares > total).select(F.col("host").alias("large"), salts), "hosts")
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of (page_id, url, html)."""
     small_batches(pages.sparkSession)
     host = F.xxhash64(host_of(F.col("url")))
     own = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), F.when(host_of(F.col("url")).isNotNull(), host).alias("host"))
-    templates = host_templates(own)
-    salted = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    shares = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    large = F.broadcast(large_hosts(own, shares))  # fewer rows than ``shares``
+    salted = host_templates(own).join(large, F.col("host") == F.col("large"), "left")
+    salted = salted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
     salted = salted.select(F.col("host").alias("h"), F.col("salt").alias("s"), F.struct("classes", "main", "names", "layouts").alias("template"))
 
     def pack(batches):
@@ -438,7 +450,9 @@ def extract(pages: DataFrame) -> DataFrame:
             keys = ["page_id", "url", "host", "salt"]
             yield pa.RecordBatch.from_arrays([*map(batch.column, keys), pa.array(sizes, pa.int64()), pa.array(data, pa.binary())], names=[*keys, "n", "data"])
 
-    slim = own.select("page_id", "url", "host", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int").alias("salt"), "html")
+    salts = F.when(F.col("host").isNull(), F.lit(shares)).otherwise(F.coalesce("salts", F.lit(1)))
+    salt = F.pmod(F.xxhash64("page_id", "url"), salts).cast("int").alias("salt")
+    slim = own.join(large, F.col("host") == F.col("large"), "left").select("page_id", "url", "host", salt, "html")
     packed = slim.mapInArrow(pack, slim.drop("html").schema.add("n", "long").add("data", "binary"))
     both = packed.join(salted, (F.col("host") == F.col("h")) & (F.col("salt") == F.col("s")), "left")
     both = both.select("page_id", "url", "n", "data", "host", "template")

@@ -204,3 +204,26 @@ def test_classes_and_nesting_against_brute_force(spark):
         for _, tokens, _, _ in pages:
             assert html.template_tokens(tokens, row["classes"]) == plain_template(tokens, [c["tokens"] for c in row["classes"]])
     assert seen == 2
+
+
+def test_a_large_host_is_dealt_in_parts_that_follow_its_share(spark):
+    rng = random.Random(11)
+    pages = [(i, f"http://h{0 if i % 2 else i}.example/{i}", with_article(rng, i)[0][2]) for i in range(60)]
+    pages += [(100 + i, None, "<p>no host</p>") for i in range(20)]
+    df = spark.createDataFrame(pages, PAGES)
+    hosts = df.withColumn("host", html.F.xxhash64(html.host_of(html.F.col("url")))).withColumn(
+        "host", html.F.when(html.host_of(html.F.col("url")).isNotNull(), html.F.col("host"))
+    )
+    for shares, salts in ((1, []), (2, []), (4, [2]), (8, [4]), (64, [25])):
+        assert [r["salts"] for r in html.large_hosts(hosts, shares).collect()] == salts
+    assert html.large_hosts(hosts.limit(0), 8).count() == 0
+    results = []
+    for n in ("1", "7", "64"):  # the partitions decide where a page is read, not what is
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            results.append(sorted(map(tuple, html.extract(df).collect())))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1] == results[2] and len(results[0]) == 80
+    assert sum(r[2] == "no host" for r in results[0]) == 20
