@@ -497,7 +497,9 @@ def service_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def service_quality_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same counts from files in which some lines end early and some go on; short lines are a reason of their own."""
+    """The same counts from files in which some lines end early and some go on; short lines are a reason of their own.
+
+    The row of counts is saved and read back."""
     target = scratch(spark, "frequencies")
     rows = frames.frequencies(spark, sf_dir)
     names = ["feed_id", "subdir", "trip_id", "headway_secs", "start_time", "end_time"]
@@ -505,7 +507,10 @@ def service_quality_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = F.substring(F.col("trip_id"), -1, 1)
     line = F.when(cut == "7", F.concat_ws(",", *text[:-1])).when(cut == "8", F.concat_ws(",", *text, F.lit("more"))).otherwise(F.concat_ws(",", *text))
     _write_lines(rows.select(line.alias(",".join(names))), target)
-    return plans.service_quality(read_csv_table(spark, target, faults="row_fault"))
+    counts = plans.service_quality(read_csv_table(spark, target, faults="row_fault"))
+    report = scratch(spark, "quality")
+    counts.write.parquet(report)
+    return spark.read.schema(counts.schema).parquet(report)
 
 
 def service_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
