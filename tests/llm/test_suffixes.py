@@ -5,10 +5,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow.dataset as ds
 import pytest
 from pyspark.sql import functions as F
 
-from stoploom.llm import suffixes
+from stoploom.llm import common, suffixes
 from stoploom.llm.queries import QUERIES
 
 
@@ -99,3 +100,30 @@ def test_strip_keeps_columns_and_whole_characters(docs):
 def test_empty_table(docs):
     assert suffixes.digests(docs([])).collect() == []
     assert suffixes.strip(docs([])).collect() == []
+
+
+def test_scans_decode_few_rows_of_texts_together(spark, docs, tables):
+    """One batch of 1,000 rows before."""
+    path = tables(documents=docs([f"{i} text" for i in range(1000)]).coalesce(1))
+    QUERIES["op4_suffix_array_dedup"](spark, path).collect()
+    scan = spark.read.parquet(f"{path}/documents.parquet").select(F.upper("text"))
+    scan.collect()
+    plan = scan._jdf.queryExecution().executedPlan()
+    while "numInputBatches" not in str(plan.metrics()):
+        plan = plan.children().head()
+    assert plan.metrics().apply("numInputBatches").value() >= 7
+    assert spark.conf.get("parquet.hadoop.vectored.io.enabled") == "false"
+    assert spark.conf.get("parquet.read.allocation.size") == str(256 << 10)
+
+
+def test_hash_columns_of_runs_have_no_dictionaries(docs, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(suffixes, "keep", lambda df, name, *more: kept.setdefault(name, common.keep(df, name, *more)))
+    suffixes.digests(docs(sample(9, 20)))
+    encodings = {}
+    for part in ds.dataset([f.removeprefix("file://") for f in kept["runs"].inputFiles()]).get_fragments():
+        for group in range(part.metadata.num_row_groups):
+            columns = part.metadata.row_group(group)
+            for column in map(columns.column, range(columns.num_columns)):
+                encodings.setdefault(column.path_in_schema, set()).update(column.encodings)
+    assert [c for c, e in encodings.items() if "DICTIONARY" in str(e)] == ["id_hash", "text_hash", "start", "size", "ahead"]
